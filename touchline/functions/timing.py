@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 from touchline import fixed
 
 
+_MICROS = 1_000_000
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     """Elapsed seconds with microsecond resolution; NULL while either end is open."""
-    return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(1_000_000.0)
+    return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(float(_MICROS))
+
+
+def overrun(start: Column, end: Column, expected: Column) -> Column:
+    """Seconds beyond the expected ones, subtracted as whole microseconds so that no digit is lost."""
+    return (F.unix_micros(end) - F.unix_micros(start) - expected * _MICROS) / F.lit(float(_MICROS))
 
 
 def severity(actual: Column, expected: Column) -> Column:
@@ -26,5 +34,5 @@ def breach_summary(stage: Column) -> Column:
     return F.format_string(fixed.BREACH_SUMMARY, stage)
 
 
-def breach_text(stage: Column, actual: Column, expected: Column) -> Column:
-    return F.format_string(fixed.BREACH_TEXT, stage, actual, expected, actual - expected)
+def breach_text(stage: Column, actual: Column, expected: Column, over: Column) -> Column:
+    return F.format_string(fixed.BREACH_TEXT, stage, actual, expected, over)

@@ -53,17 +53,18 @@ def _breaches(runs: DataFrame, end: Column, limits: Mapping[str, int]) -> DataFr
         "run_id", "stage",
         _limit_of(C("stage"), limits).alias("expected_sec"),
         timing.seconds_between(C("start_ts"), end).alias("actual"),
+        timing.overrun(C("start_ts"), end, _limit_of(C("stage"), limits)).alias("over"),
         end.alias("breach_time"),
     )
     over = timed.filter(C("actual") > C("expected_sec"))  # strictly; NULL limits drop out
     return over.select(
         "run_id", "stage", "expected_sec",
         F.bround("actual", 3).alias("actual_sec"),
-        F.bround(C("actual") - C("expected_sec"), 3).alias("overrun_sec"),
+        F.bround("over", 3).alias("overrun_sec"),
         timing.severity(C("actual"), C("expected_sec")).alias("severity"),
         "breach_time",
         timing.breach_summary(C("stage")).alias("summary"),
-        timing.breach_text(C("stage"), C("actual"), C("expected_sec")).alias("description"),
+        timing.breach_text(C("stage"), C("actual"), C("expected_sec"), C("over")).alias("description"),
     )
 
 

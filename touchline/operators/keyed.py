@@ -1,18 +1,24 @@
 """Key-based operators: newest row per key, existence tests, and row merges.
 
 The pattern throughout: a merge source is small next to its target, so the target is only ever streamed past the
-source's keys. Keys are broadcast when a count has shown that there are few of them; otherwise Spark joins by
-shuffle, where adaptive execution splits skewed partitions.
+source's keys. Keys are broadcast when measured to be few and short; otherwise Spark joins by shuffle, where
+adaptive execution splits skewed partitions. Keys must not be NULL: a NULL equals nothing, so it never matches.
+
+A source is evaluated more than once (to measure it, to find its matches, to take its rows): hand in a stored or
+persisted one when computing it is expensive.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BROADCAST_KEYS = 1_000_000
+BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
@@ -31,15 +37,24 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     )
 
 
-def few_enough(df: DataFrame, limit: int = BROADCAST_KEYS) -> bool:
-    """Whether df has at most `limit` rows; reads no further than that."""
-    return df.limit(limit + 1).count() <= limit
+def size_columns(df: DataFrame) -> list[Column]:
+    """Aggregates for the row count and an upper estimate of the bytes a broadcast of df would ship."""
+    def width(field: T.StructField) -> Column:
+        text = isinstance(field.dataType, (T.StringType, T.BinaryType))
+        return F.coalesce(F.octet_length(field.name), F.lit(0)) + 16 if text else F.lit(16)
+
+    row_bytes = reduce(lambda a, b: a + b, [width(f) for f in df.schema.fields]).cast("bigint")
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")]
+
 
+def small_enough(rows: int, size: int) -> bool:
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
-def keys_to_probe(source: DataFrame, keys: Sequence[str], limit: int = BROADCAST_KEYS) -> DataFrame:
-    """The source's keys, marked for broadcast only when counted to be few."""
-    wanted = source.select(*keys)
-    return F.broadcast(wanted) if few_enough(wanted, limit) else wanted
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Mark df for broadcast after counting its rows and bytes; a larger one is left to a shuffle join."""
+    seen = df.agg(*size_columns(df)).first()
+    return F.broadcast(df) if small_enough(seen["rows"], seen["bytes"]) else df
 
 
 def without_keys(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -53,7 +68,7 @@ def unseen(source: DataFrame, target: DataFrame, keys: Sequence[str], probe: Dat
     Joining the large target on the build side would shuffle it; instead it is narrowed to the source's own keys
     first (a scan of the key column when the probe is broadcast), and only those hits meet the source.
     """
-    probe = keys_to_probe(source, keys) if probe is None else probe
+    probe = broadcast_if_small(source.select(*keys)) if probe is None else probe
     hits = target.select(*keys).join(probe, list(keys), "left_semi")
     return without_keys(source, hits, keys)
 
@@ -61,7 +76,7 @@ def unseen(source: DataFrame, target: DataFrame, keys: Sequence[str], probe: Dat
 def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """MERGE with all columns updated: source rows win, the other target rows stay."""
     newest = newest_per_key(source, keys, order_by)
-    kept = target.join(keys_to_probe(newest, keys), list(keys), "left_anti")
+    kept = target.join(broadcast_if_small(newest.select(*keys)), list(keys), "left_anti")
     return kept.unionByName(newest.select(*target.columns))
 
 
@@ -82,18 +97,17 @@ def update_some_rows(
 ) -> DataFrame:
     """MERGE where a match changes only the `update` columns and everything else keeps its stored value."""
     newest = newest_per_key(source, keys, order_by)
-    changes = newest.select(*keys, F.struct(*update).alias("_new"))
-    probe = newest.select(*keys)
-    if few_enough(probe):
+    changes, probe = newest.select(*keys, *update), newest.select(*keys)
+    seen = changes.agg(*size_columns(changes)).first()
+    if small_enough(seen["rows"], seen["bytes"]):
         changes, probe = F.broadcast(changes), F.broadcast(probe)
-    joined = target.join(changes, list(keys), "left")
-    changed = joined.select(
-        *[
-            F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in update
-            else F.col(c)
-            for c in target.columns
-        ]
-    )
+    changes = changes.select(*keys, F.struct(*update).alias("_new"))
+    found = F.col("_new").isNotNull()
+    columns = [
+        F.when(found, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
+        for c in target.columns
+    ]
+    changed = target.join(changes, list(keys), "left").select(*columns)
     return changed.unionByName(unseen(newest, target, keys, probe).select(*target.columns))
 
 

@@ -123,16 +123,26 @@ def fit(
     rate: float = fixed.LEARNING_RATE,
     seed: int = 7,
 ) -> PipelineModel:
-    """Fit encoders and trees; `algorithm` is `boosted` or the cheaper `forest`."""
+    """Fit encoders and trees; `algorithm` is `boosted` or the cheaper `forest`.
+
+    The trees pass over their input many times, so only the assembled features are kept for them, on disk where
+    memory is short.
+    """
     complete = complete_for_scoring(matches)
-    front = [fit_encoders(complete), _feature_columns(), VectorAssembler(inputCols=FEATURES, outputCol="features")]
+    front = PipelineModel(
+        [fit_encoders(complete), _feature_columns(), VectorAssembler(inputCols=FEATURES, outputCol="features")]
+    )
     if algorithm == "boosted":
         trees = _boosted_stages(rounds, depth, rate, seed)
     elif algorithm == "forest":
         trees = [RandomForestClassifier(labelCol="label", numTrees=rounds, maxDepth=depth, seed=seed)]
     else:
         raise ValueError(f"unknown algorithm {algorithm!r}")
-    return Pipeline(stages=[*front, *trees]).fit(complete)
+    prepared = front.transform(complete).select("features", "label").persist()
+    try:
+        return PipelineModel([*front.stages, *Pipeline(stages=trees).fit(prepared).stages])
+    finally:
+        prepared.unpersist()
 
 
 def train(matches: DataFrame, registry_path: str, **settings) -> Trained:

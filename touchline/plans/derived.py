@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from touchline import schema
 
@@ -17,8 +18,15 @@ FRESHNESS_AS_OF = "2024-02-01 00:00:00"
 EVENT_LIMITS_SEC = {"signup": 60, "click": 45, "view": 30, "error": 20}  # no limit for `purchase`
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is taken from the file footers once and stated from then on."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def as_of() -> Column:

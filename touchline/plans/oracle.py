@@ -98,26 +98,26 @@ limits(stage, expected_sec) AS (VALUES ('signup', 60), ('click', 45), ('view', 3
 
 _ENDED = f"""{_RUNS},
 over AS (
-  SELECT run_id, stage, expected_sec, (epoch_us(end_ts) - epoch_us(start_ts)) / 1000000.0 AS actual, end_ts AS breached
+  SELECT run_id, stage, expected_sec, epoch_us(end_ts) - epoch_us(start_ts) AS micros, end_ts AS breached
   FROM runs JOIN limits USING (stage) WHERE ended)"""
 
 _OPEN = f"""{_RUNS},
 over AS (
   SELECT run_id, stage, expected_sec,
-         (epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(start_ts)) / 1000000.0 AS actual,
+         epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(start_ts) AS micros,
          TIMESTAMP '2024-02-01 00:00:00' AS breached
   FROM runs JOIN limits USING (stage) WHERE NOT ended)"""
 
 _BREACHES = """
-SELECT run_id, stage, expected_sec, round_even(actual, 3) AS actual_sec,
-       round_even(actual - expected_sec, 3) AS overrun_sec,
-       CASE WHEN actual / greatest(expected_sec, 1) >= 2.0 THEN 'critical'
-            WHEN actual / greatest(expected_sec, 1) >= 1.5 THEN 'high' ELSE 'warning' END AS severity,
+SELECT run_id, stage, expected_sec, round_even(micros / 1000.0, 0) / 1000.0 AS actual_sec,
+       round_even((micros - expected_sec * 1000000) / 1000.0, 0) / 1000.0 AS overrun_sec,
+       CASE WHEN micros >= 2 * expected_sec * 1000000 THEN 'critical'
+            WHEN micros * 2 >= 3 * expected_sec * 1000000 THEN 'high' ELSE 'warning' END AS severity,
        strftime(breached, '%Y-%m-%d %H:%M:%S.%f') AS breach_time,
        'SLA breach on stage ''' || stage || '''' AS summary,
-       printf('Stage ''%s'' took %.1fs (SLA=%ds, overrun=%.1fs)', stage, round(actual, 1), expected_sec,
-              round(actual - expected_sec, 1)) AS description
-FROM over WHERE actual > expected_sec"""
+       printf('Stage ''%s'' took %.1fs (SLA=%ds, overrun=%.1fs)', stage, round(micros / 100000.0) / 10.0, expected_sec,
+              round((micros - expected_sec * 1000000) / 100000.0) / 10.0) AS description
+FROM over WHERE micros > expected_sec * 1000000"""
 
 _SAMPLES = """
 samples AS (

@@ -43,7 +43,9 @@ def portable(df: DataFrame) -> DataFrame:
             return F.date_format(field.name, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(field.name)
         return C(field.name)
 
-    return df.select(*[plain(f) for f in df.schema.fields])
+    timed = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    fields = df.schema.fields
+    return df.select(*[plain(f) for f in fields]) if any(isinstance(f.dataType, timed) for f in fields) else df
 
 
 # League tables and reports.

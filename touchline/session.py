@@ -52,6 +52,7 @@ def local_settings(cores: int) -> dict[str, str]:
         "spark.driver.host": "127.0.0.1",
         "spark.driver.bindAddress": "127.0.0.1",
         "spark.ui.enabled": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,24 +16,30 @@ def write_table(
     mode: str = "overwrite",
     partition_by: str | None = "season",
     fmt: str = "parquet",
-    sort_by: list[str] | None = None,
+    sort_by: Sequence[str] | None = None,
+    replace_all: bool = False,
 ) -> None:
     """Write a table; overwriting replaces only the partitions that df has rows for, so a re-run changes nothing.
 
+    `replace_all` makes an overwrite drop every other partition too.
+
     The rebalance hint lets adaptive execution size the files: a partition value with a third of all rows is cut
     into many tasks, rare ones do not leave a file per task.
     """
     if partition_by:
         df = df.hint("rebalance", F.col(partition_by))
-        if sort_by:
-            df = df.sortWithinPartitions(partition_by, *sort_by)
+        order = [partition_by, *[c for c in sort_by or [] if c != partition_by]]
     else:
         df = df.hint("rebalance")
+        order = list(sort_by or [])
+    if sort_by:
+        df = df.sortWithinPartitions(*order)
     writer = df.write.format(fmt).mode(mode)
     if fmt == "parquet":
         writer = writer.option("compression", "snappy")
     if partition_by:
-        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
+        overwrite = "static" if replace_all else "dynamic"
+        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", overwrite)
     writer.save(path)
 
 

@@ -8,12 +8,13 @@ an upsert rewrites the touched partitions. Both are safe to repeat. For catalogs
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.operators.keyed import keys_to_probe, newest_per_key, unseen
+from touchline.operators.keyed import newest_per_key, size_columns, small_enough, unseen
 from touchline.sinks.lake import write_table
 from touchline.sources.lake import read_table_or_none
 
@@ -39,30 +40,44 @@ def merge_table(
     """
     if mode not in ("upsert", "insert_only"):
         raise ValueError(f"unknown merge mode {mode!r}")
-    spark = source.sparkSession
     newest = newest_per_key(source.select(*layout.names), keys, order_by).persist()
     try:
-        if newest.isEmpty():
+        probe = newest.select(*keys)
+        lead = F.col(keys[0])
+        missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        seen = probe.agg(
+            *size_columns(probe), F.count_if(missing).alias("missing"), F.min(lead).alias("low"), F.max(lead).alias("high")
+        ).first()
+        if seen["missing"]:
+            raise ValueError(f"cannot merge rows without a key ({', '.join(keys)})")
+        rows = seen["rows"]
+        if rows == 0:
             return 0
-        target = read_table_or_none(spark, path, layout)
+        target = read_table_or_none(source.sparkSession, path, layout)
         if target is None:
-            write_table(newest, path, "append", partition_by)
-            return newest.count()
+            write_table(newest, path, "append", partition_by, sort_by=keys)
+            return rows
+        if small_enough(rows, seen["bytes"]):
+            probe = F.broadcast(probe)
+        # Only row groups whose key range meets the source's are read in search of matches; tables are written
+        # sorted by key, so these are few when keys grow with time.
+        reachable = target.filter(lead.between(seen["low"], seen["high"]))
         if mode == "insert_only":
-            return _append_counted(unseen(newest, target, keys), path, partition_by)
-        _rewrite(newest, target, path, layout, keys, partition_by)
-        return newest.count()
+            return _append_counted(unseen(newest, reachable, keys, probe), path, keys, partition_by)
+        touched = _touched_partitions(newest, reachable, probe, keys, partition_by) if partition_by else None
+        _rewrite(newest, probe, target, touched, path, layout, keys, partition_by)
+        return rows
     finally:
         newest.unpersist()
 
 
-def _append_counted(fresh: DataFrame, path: str, partition_by: str | None) -> int:
+def _append_counted(fresh: DataFrame, path: str, keys: Sequence[str], partition_by: str | None) -> int:
     """Append rows, leaving no files behind when there are none, and count them without a second join."""
     fresh = fresh.persist()
     try:
         rows = fresh.count()
         if rows:
-            write_table(fresh, path, "append", partition_by)
+            write_table(fresh, path, "append", partition_by, sort_by=keys)
         return rows
     finally:
         fresh.unpersist()
@@ -75,26 +90,22 @@ def _touched_partitions(newest: DataFrame, target: DataFrame, probe: DataFrame,
     return None if len(touched) > MAX_LISTED_PARTITIONS else [row[0] for row in touched]
 
 
-def _rewrite(newest, target, path, layout, keys, partition_by) -> None:
+def _rewrite(newest, probe, target, touched, path, layout, keys, partition_by) -> None:
     """Replace the touched partitions by their merged rows.
 
     The merged rows are first written next to the table: the overwrite then never reads what it replaces, and an
     interrupted overwrite can be repeated from that copy.
     """
     spark = newest.sparkSession
-    probe = keys_to_probe(newest, keys)
-    touched = _touched_partitions(newest, target, probe, keys, partition_by) if partition_by else None
     affected = target if touched is None else target.filter(_is_one_of(partition_by, touched))
     merged = affected.join(probe, list(keys), "left_anti").unionByName(newest)
 
     staging = path.rstrip("/") + "__merge"
-    write_table(merged, staging + "/rows", "overwrite", partition_by=None)
-    staged = spark.read.schema(layout).parquet(staging + "/rows")
-    if partition_by is None:
-        write_table(staged, path, "overwrite", None)
-        return
-    write_table(staged, path, "overwrite", partition_by)
-    _empty_left_partitions(staged, target if touched is None else None, touched, path, layout, partition_by)
+    write_table(merged, staging, "overwrite", partition_by=None)
+    staged = spark.read.schema(layout).parquet(staging)
+    write_table(staged, path, "overwrite", partition_by, sort_by=keys, replace_all=touched is None)
+    if touched is not None:
+        _empty_left_partitions(staged, touched, path, layout, partition_by)
 
 
 def _is_one_of(column: str, values: list):
@@ -103,22 +114,13 @@ def _is_one_of(column: str, values: list):
     return inside | F.col(column).isNull() if len(listed) < len(values) else inside
 
 
-def _empty_left_partitions(staged, whole_target, touched, path, layout, partition_by) -> None:
+def _empty_left_partitions(staged, touched: list, path, layout, partition_by) -> None:
     """A partition whose last row moved away gets no new rows, so overwriting would leave the old ones."""
-    spark = staged.sparkSession
-    filled = staged.select(partition_by).distinct()
-    if touched is None:
-        before = whole_target.select(partition_by).distinct()
-    else:
-        field = T.StructType([T.StructField(partition_by, layout[partition_by].dataType)])
-        before = spark.createDataFrame([(v,) for v in touched], field)
-    both = before.withColumn("_kept", F.lit(0)).unionByName(filled.withColumn("_kept", F.lit(1)))
-    gone = both.groupBy(partition_by).agg(F.max("_kept").alias("_kept")).filter("_kept = 0")
+    filled = {row[0] for row in staged.select(partition_by).distinct().collect()}
     rest = T.StructType([f for f in layout.fields if f.name != partition_by])
-    for row in gone.select(partition_by).collect():
-        spark.createDataFrame([], rest).write.mode("overwrite").parquet(
-            f"{path.rstrip('/')}/{partition_by}={_directory_name(row[0])}"
-        )
+    for value in set(touched) - filled:
+        nothing = staged.sparkSession.createDataFrame([], rest)
+        nothing.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{partition_by}={_directory_name(value)}")
 
 
 def _directory_name(value) -> str:

@@ -23,13 +23,13 @@ _NUMBERS = ("home_goals", "away_goals")
 def parse_messages(envelope: DataFrame, payload: T.StructType = schema.MESSAGE_PAYLOAD) -> DataFrame:
     """(value, timestamp) -> typed rows with kafka_timestamp; messages without a key or valid JSON are dropped.
 
-    Payload values arrive as text: numbers are cast leniently, blanks become NULL.
+    Payload values arrive as text: numbers are cast leniently, blanks become NULL. The parsed object goes through a
+    generator, which filters are not pushed into: otherwise the JSON would be parsed again for the key filter.
     """
-    parsed = envelope.select(
-        F.from_json(F.col("value").cast("string"), payload).alias("data"), F.col("timestamp").alias("kafka_timestamp")
-    )
+    body = F.from_json(F.col("value").cast("string"), payload)
+    parsed = envelope.select(F.inline(F.array(body)), F.col("timestamp").alias("kafka_timestamp"))
     columns = [
-        (lenient_int(F.col(f"data.{f.name}")) if f.name in _NUMBERS else blank_to_null(F.col(f"data.{f.name}"))).alias(f.name)
+        (lenient_int(F.col(f.name)) if f.name in _NUMBERS else blank_to_null(F.col(f.name))).alias(f.name)
         for f in payload.fields
     ]
     return parsed.select(*columns, "kafka_timestamp").filter(F.col("match_id").isNotNull())
