@@ -95,14 +95,14 @@ def random_series(seed, n=1500, hot=0.5):
     return rows
 
 
-@pytest.mark.parametrize("bucket", [30, 300, 3600, 10**7])
+@pytest.mark.parametrize("buckets", [(1, 3600), (30,), (60, 300, 86400), (3600,), (10**7,), ()])
 @pytest.mark.parametrize("hold", [0, 300, 5000])
-def test_sustained_alerts_against_a_loop(spark, bucket, hold):
-    rows = random_series(bucket + hold)
+def test_sustained_alerts_against_a_loop(spark, buckets, hold):
+    rows = random_series(sum(buckets) + hold)
     rule = health.Rule("Lag", "lag", ">", 10.0, hold)
     found = {
         (r.series, int((r.start_ts - START).total_seconds()), int((r.end_ts - START).total_seconds()), r.samples)
-        for r in health.sustained_alerts(samples(spark, rows), [rule], bucket).collect()
+        for r in health.sustained_alerts(samples(spark, rows), [rule], buckets).collect()
     }
     assert found == brute_force_stretches(rows, lambda v: v > 10, hold)
 

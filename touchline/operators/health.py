@@ -1,8 +1,8 @@
 """Pipeline health over run, event and metric tables.
 
 Metric samples are (ts, metric, labels, value). A single series may hold any share of all samples, so no window
-spans a whole series: windows are cut into time buckets, and what crosses a bucket border is either carried as a
-bounded overlap (counters) or stitched from at most two rows per bucket (held rules).
+spans the samples of a whole series: windows are cut into time buckets, and what crosses a bucket border is either
+carried as an overlap of one window (counters) or stitched from at most two rows per bucket (held rules).
 """
 
 from __future__ import annotations
@@ -153,50 +153,69 @@ def rule_states(samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
-def sustained_alerts(samples: DataFrame, rules: Sequence[Rule], bucket_sec: int = 3600) -> DataFrame:
-    """Stretches of consecutive breaching samples that last at least the rule's hold time.
+_SERIES = ["alert", "severity", "hold_sec", "series"]
+
+
+def _held() -> Column:
+    return timing.seconds_between(C("start_ts"), C("end_ts"))
+
+
+def _stitch(segments: DataFrame, width_sec: int | None) -> DataFrame:
+    """Join neighbouring segments within each time bucket (None: along the whole series).
 
-    Within a time bucket, each clear sample starts a segment of the breaching samples after it. Only a bucket's
-    first and last segment can belong to a longer stretch; those, at most two per bucket, are stitched along the
-    series, while inner segments are complete and stay spread over the buckets.
+    A segment is an optional clear sample followed by breaching ones, so it continues the segment before it exactly
+    when it has no clear sample of its own. Inside a bucket only the first and last segment can grow any further;
+    the others are closed: they stay spread by their own place from then on, or go if they were not held.
     """
-    series = ["alert", "severity", "hold_sec", "series"]
-    bucket = F.floor(F.unix_micros("ts") / (bucket_sec * _MICROS))
-    in_bucket = Window.partitionBy(*series, "bucket")
-    segmented = (
-        rule_states(samples, rules)
-        .withColumn("bucket", bucket)
-        .withColumn("segment", F.count_if(~C("breach")).over(in_bucket.orderBy("ts")))
-    )
-    segments = (
-        segmented.groupBy(*series, "bucket", "segment")
-        .agg(
-            F.min(F.when(C("breach"), C("ts"))).alias("start_ts"),
-            F.max(F.when(C("breach"), C("ts"))).alias("end_ts"),
-            F.count_if(C("breach")).alias("samples"),
-            F.max("value").alias("peak"),
-            F.bool_or(~C("breach")).alias("cleared"),
-        )
-        .withColumn("last_segment", F.max("segment").over(in_bucket))
-        .filter((C("samples") > 0) | (C("segment") == C("last_segment")))
-    )
-    at_border = (C("segment") == 0) | (C("segment") == C("last_segment"))
-    lanes = segments.withColumn("lane", F.when(~at_border, C("bucket")))
-    along = Window.partitionBy(*series, "lane").orderBy("bucket", "segment")
-    stretches = (
-        lanes.withColumn("stretch", F.count_if("cleared").over(along))
-        .groupBy(*series, "lane", "stretch")
+    micros = F.unix_micros("place_ts")
+    bucket = F.lit(0) if width_sec is None else F.floor(micros / (width_sec * _MICROS))
+    lane = ["closed", "lane"]
+    within = Window.partitionBy(*_SERIES, *lane)
+    joined = (
+        segments.withColumn("lane", F.when(C("closed"), micros).otherwise(bucket))
+        .withColumn("segment", F.count_if("cleared").over(within.orderBy("place_ts")))
+        .groupBy(*_SERIES, *lane, "segment")
         .agg(
+            F.min("place_ts").alias("place_ts"),
+            F.bool_or("cleared").alias("cleared"),
+            F.sum("samples").alias("samples"),
             F.min("start_ts").alias("start_ts"),
             F.max("end_ts").alias("end_ts"),
-            F.sum("samples").alias("samples"),
             F.max("peak").alias("peak"),
         )
+        .withColumn("is_last", C("segment") == F.max("segment").over(within))
+        .withColumn("closed", C("closed") | (C("cleared") & ~C("is_last")))
+    )
+    open_end = ~C("closed") & C("is_last")
+    held = (C("samples") > 0) & (~C("closed") | (_held() >= C("hold_sec")))
+    return joined.filter(open_end | held).drop("lane", "segment", "is_last")
+
+
+def sustained_alerts(
+    samples: DataFrame, rules: Sequence[Rule], buckets_sec: Sequence[int] = (1, 3600)
+) -> DataFrame:
+    """Stretches of consecutive breaching samples that last at least the rule's hold time.
+
+    Stretches are joined within short buckets first, then within longer ones, then along the series. A task sees
+    one bucket of one series: at most a million instants in a second of microsecond time stamps, two open segments
+    per second in an hour, two per hour at the end. For series known to be sparse, `(3600,)` saves a shuffle.
+    """
+    breach = C("breach")
+    segments = rule_states(samples, rules).select(
+        *_SERIES,
+        C("ts").alias("place_ts"),
+        F.lit(False).alias("closed"),
+        (~breach).alias("cleared"),
+        F.when(breach, 1).otherwise(0).alias("samples"),
+        F.when(breach, C("ts")).alias("start_ts"),
+        F.when(breach, C("ts")).alias("end_ts"),
+        C("value").alias("peak"),
     )
-    held = timing.seconds_between(C("start_ts"), C("end_ts"))
+    for width in [*sorted(buckets_sec), None]:
+        segments = _stitch(segments, width)
     return (
-        stretches.filter(C("samples") > 0)
-        .withColumn("held_sec", held)
+        segments.filter(C("samples") > 0)
+        .withColumn("held_sec", _held())
         .filter(C("held_sec") >= C("hold_sec"))
         .select("alert", "severity", "series", "start_ts", "end_ts", "held_sec", "samples", "peak")
     )
@@ -208,7 +227,8 @@ def counter_increase(
     """For each sample, how much the counter grew over the trailing window: metric, series, ts, increase.
 
     Growth is summed over neighbouring samples that both lie in the window; after a reset the new value counts.
-    Samples of a bucket's last window are copied into the next bucket, so each bucket is complete on its own.
+    Samples of a bucket's last window are copied into the next bucket, so each bucket is complete on its own and a
+    task sees one bucket and one window of one series, however long the series is.
     """
     span, width = window_sec * _MICROS, max(bucket_sec, window_sec) * _MICROS
     instants = (

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "STRING": T.StringType(), "DATE": T.DateType(), "INT": T.IntegerType(), "DOUBLE": T.DoubleType(),
-    "BOOLEAN": T.BooleanType(), "TIMESTAMP": T.TimestampType(),
+    "BIGINT": T.LongType(), "BOOLEAN": T.BooleanType(), "TIMESTAMP": T.TimestampType(),
 }
 
 
@@ -40,6 +40,11 @@ DERIVED = _struct(
 # Explicit, because reading `season=2024` directories would otherwise infer INT and `season=2023-24` STRING.
 LAKE = T.StructType(MATCHES.fields + DERIVED.fields)
 
+STANDINGS = _struct(
+    "season STRING, team STRING, played BIGINT, won BIGINT, drawn BIGINT, lost BIGINT, gf BIGINT, ga BIGINT, "
+    "gd BIGINT, points BIGINT, position INT"
+)
+
 # Message payloads carry every value as text; numbers are cast leniently after parsing.
 MESSAGE_PAYLOAD = _struct(
     "match_id STRING, season STRING, home_team STRING, away_team STRING, home_goals STRING, away_goals STRING"
