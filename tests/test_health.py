@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline import fixed
+from touchline.functions import timing
 from touchline.operators import health
 from touchline.plans.derived import EVENT_LIMITS_SEC
 
@@ -43,6 +44,17 @@ def test_breaches_are_strict_and_graded(spark):
     }
 
 
+def test_limits_of_hours_do_not_overflow(spark):
+    table = runs(spark, ("1", "nightly", 0, 100_000))
+    assert health.stage_breaches(table, {"nightly": 40_000}).first().overrun_sec == 60_000.0
+
+
+def test_time_buckets_are_exact_before_1970_too(spark):
+    rows = spark.createDataFrame([(-1,), (0,), (9,), (10,), (-10,), (-11,)], "m BIGINT")
+    found = [r[0] for r in rows.select(timing.time_bucket(F.col("m"), 10)).collect()]
+    assert found == [-1, 0, 0, 1, -1, -2]
+
+
 def test_runs_in_progress(spark):
     table = runs(
         spark, ("1", "validate", 0, None), ("2", "validate", 200, None), ("3", "validate", 0, 999),

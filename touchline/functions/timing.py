@@ -18,7 +18,13 @@ def seconds_between(start: Column, end: Column) -> Column:
 
 def overrun(start: Column, end: Column, expected: Column) -> Column:
     """Seconds beyond the expected ones, subtracted as whole microseconds so that no digit is lost."""
-    return (F.unix_micros(end) - F.unix_micros(start) - expected * _MICROS) / F.lit(float(_MICROS))
+    allowed = expected.cast("bigint") * _MICROS
+    return (F.unix_micros(end) - F.unix_micros(start) - allowed) / F.lit(float(_MICROS))
+
+
+def time_bucket(micros: Column, width: int) -> Column:
+    """The number of the bucket of `width` microseconds that holds a time; exact, also before 1970."""
+    return ((micros - F.pmod(micros, F.lit(width).cast("bigint"))) / width).cast("bigint")
 
 
 def severity(actual: Column, expected: Column) -> Column:

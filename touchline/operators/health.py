@@ -168,7 +168,7 @@ def _stitch(segments: DataFrame, width_sec: int | None) -> DataFrame:
     the others are closed: they stay spread by their own place from then on, or go if they were not held.
     """
     micros = F.unix_micros("place_ts")
-    bucket = F.lit(0) if width_sec is None else F.floor(micros / (width_sec * _MICROS))
+    bucket = F.lit(0) if width_sec is None else timing.time_bucket(micros, width_sec * _MICROS)
     lane = ["closed", "lane"]
     within = Window.partitionBy(*_SERIES, *lane)
     joined = (
@@ -235,7 +235,7 @@ def counter_increase(
         samples.groupBy("metric", series_name(C("labels")).alias("series"), "ts")
         .agg(F.max("value").alias("value"))
         .withColumn("micros", F.unix_micros("ts"))
-        .withColumn("home", F.floor(C("micros") / width))
+        .withColumn("home", timing.time_bucket(C("micros"), width))
     )
     needed_later = (C("home") + 1) * width - C("micros") <= span
     buckets = F.when(needed_later, F.array(C("home"), C("home") + 1)).otherwise(F.array(C("home")))
