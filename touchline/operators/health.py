@@ -248,11 +248,29 @@ def counter_increase(
         .when(C("value") < previous, C("value"))
         .otherwise(C("value") - previous)
     )
+    so_far = Window.unboundedPreceding, Window.currentRow
+    grown = copies.withColumn("growth", growth).withColumn("grown", F.sum("growth").over(order.rowsBetween(*so_far)))
+
+    # What the counter had grown by when a sample's window began is the running total of the first sample at or
+    # after that time. Each sample adds a probe at its window's beginning; read backwards, the sample last passed is
+    # the one looked for. A range frame would go through its whole window again for every sample.
+    def event(at: Column, probe: bool, seen: Column, ts: Column, now: Column) -> Column:
+        return F.struct(
+            at.alias("at"), F.lit(probe).alias("probe"), seen.alias("seen"), ts.alias("ts"), now.alias("now")
+        )
+
+    none, no_time = F.lit(None).cast("double"), F.lit(None).cast("timestamp")
+    sample = event(C("micros"), False, C("grown"), no_time, none)
+    begin = event(C("micros") - span, True, none, C("ts"), C("grown"))
+    events = grown.select(
+        "metric", "series", "bucket",
+        F.inline(F.when(C("bucket") == C("home"), F.array(sample, begin)).otherwise(F.array(sample))),
+    )
+    backwards = Window.partitionBy("metric", "series", "bucket").orderBy(F.desc("at"), "probe")
+    at_begin = F.last("seen", ignorenulls=True).over(backwards.rowsBetween(*so_far))
     return (
-        copies.withColumn("growth", growth)
-        .withColumn("grown", F.sum("growth").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("increase", C("grown") - F.first("grown").over(order.rangeBetween(-span, 0)))
-        .filter(C("bucket") == C("home"))
+        events.withColumn("increase", C("now") - at_begin)
+        .filter("probe")
         .select("metric", "series", "ts", "increase")
     )
 
