@@ -137,6 +137,7 @@ def test_a_check_that_cannot_run_fails(spark):
     assert found["duplicate_primary_keys"][0]
     assert not found["referential_integrity"][0]
     assert found["referential_integrity"][1].startswith("Query failed: ")
+    assert tuple(quality.check_summary(results).first()) == (2, 1, 1)
     with pytest.raises(quality.DataQualityError, match="referential_integrity"):
         quality.require_checks(results)
     quality.require_checks(results.filter("passed"))

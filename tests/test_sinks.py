@@ -157,6 +157,17 @@ def test_table_insert_only(spark, tmp_path, join_way):
     assert content(read_lake(spark, path, ROW, columns=ROW.names)) == {("a", "s1", 1, "x"), ("b", "s1", 2, "y")}
 
 
+@pytest.mark.parametrize("partition_by", ["season", None])
+def test_table_partial_update(spark, tmp_path, join_way, partition_by):
+    path = str(tmp_path / "t")
+    merge_table(table(spark, ("a", "s1", 1, "x"), ("b", "s2", 2, "x")), path, ROW, ["match_id"], partition_by=partition_by)
+    changes = table(spark, ("a", "s9", 5, "y"), ("c", "s3", 6, "y"))
+    for _ in range(2):
+        merge_table(changes, path, ROW, ["match_id"], partition_by=partition_by, update=["home_goals"])
+        found = content(read_lake(spark, path, ROW, columns=ROW.names))
+        assert found == {("a", "s1", 5, "x"), ("b", "s2", 2, "x"), ("c", "s3", 6, "y")}
+
+
 def test_unpartitioned_upsert(spark, tmp_path):
     path = str(tmp_path / "t")
     merge_table(table(spark, ("a", "s1", 1, "x"), ("b", "s1", 1, "x")), path, ROW, ["match_id"], partition_by=None)

@@ -280,6 +280,13 @@ def run_checks(spark: SparkSession, checks: Mapping[str, Callable[[], DataFrame]
     return _union(parts)
 
 
+def check_summary(results: DataFrame) -> DataFrame:
+    """One row: how many checks ran, passed and failed."""
+    return results.agg(
+        F.count(F.lit(1)).alias("checks"), F.count_if("passed").alias("passed"), F.count_if(~C("passed")).alias("failed")
+    )
+
+
 def with_measured_at(results: DataFrame) -> DataFrame:
     return results.withColumn("measured_at", F.current_timestamp())
 

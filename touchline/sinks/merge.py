@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.operators.keyed import newest_per_key, size_columns, small_enough, unseen
+from touchline.operators.keyed import newest_per_key, size_columns, small_enough, unseen, update_some_rows
 from touchline.sinks.lake import write_table
 from touchline.sources.lake import read_table_or_none
 
@@ -32,11 +32,13 @@ def merge_table(
     mode: str = "upsert",
     order_by: Sequence[str] = (),
     partition_by: str | None = "season",
+    update: Sequence[str] | None = None,
 ) -> int:
     """Merge source rows into the table at `path`, creating it if absent; returns the number of rows written in.
 
-    `upsert` lets source rows win, `insert_only` lets stored rows win. Repeated keys in the source are reduced to
-    the newest by `order_by` first.
+    `upsert` lets source rows win, `insert_only` lets stored rows win. With `update`, an upsert changes only those
+    columns of a stored row and the others keep their stored values. Repeated keys in the source are reduced to the
+    newest by `order_by` first.
     """
     if mode not in ("upsert", "insert_only"):
         raise ValueError(f"unknown merge mode {mode!r}")
@@ -64,8 +66,12 @@ def merge_table(
         reachable = target.filter(lead.between(seen["low"], seen["high"]))
         if mode == "insert_only":
             return _append_counted(unseen(newest, reachable, keys, probe), path, keys, partition_by)
-        touched = _touched_partitions(newest, reachable, probe, keys, partition_by) if partition_by else None
-        _rewrite(newest, probe, target, touched, path, layout, keys, partition_by)
+        incoming = newest
+        if update is not None:
+            held = reachable.join(probe, list(keys), "left_semi").select(*layout.names)
+            incoming = update_some_rows(held, newest, keys, update)
+        touched = _touched_partitions(incoming, reachable, probe, keys, partition_by) if partition_by else None
+        _rewrite(incoming, probe, target, touched, path, layout, keys, partition_by)
         return rows
     finally:
         newest.unpersist()
@@ -83,22 +89,22 @@ def _append_counted(fresh: DataFrame, path: str, keys: Sequence[str], partition_
         fresh.unpersist()
 
 
-def _touched_partitions(newest: DataFrame, target: DataFrame, probe: DataFrame, keys, column: str) -> list | None:
+def _touched_partitions(incoming: DataFrame, target: DataFrame, probe: DataFrame, keys, column: str) -> list | None:
     """Partitions with a source row or with a stored row to be replaced; None when too many to list."""
     holding = target.select(*keys, column).join(probe, list(keys), "left_semi").select(column)
-    touched = holding.union(newest.select(column)).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
+    touched = holding.union(incoming.select(column)).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
     return None if len(touched) > MAX_LISTED_PARTITIONS else [row[0] for row in touched]
 
 
-def _rewrite(newest, probe, target, touched, path, layout, keys, partition_by) -> None:
+def _rewrite(incoming, probe, target, touched, path, layout, keys, partition_by) -> None:
     """Replace the touched partitions by their merged rows.
 
     The merged rows are first written next to the table: the overwrite then never reads what it replaces, and an
     interrupted overwrite can be repeated from that copy.
     """
-    spark = newest.sparkSession
+    spark = incoming.sparkSession
     affected = target if touched is None else target.filter(_is_one_of(partition_by, touched))
-    merged = affected.join(probe, list(keys), "left_anti").unionByName(newest)
+    merged = affected.join(probe, list(keys), "left_anti").unionByName(incoming)
 
     staging = path.rstrip("/") + "__merge"
     write_table(merged, staging, "overwrite", partition_by=None)
