@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import bpe_automaton, token_counts, token_output
+from touchline.llm import bpe_automaton, decontamination, quality_rules, secret_scan, token_counts, token_output
 from touchline.llm.support import table
 from touchline.session import scratch_path
 
@@ -13,15 +13,33 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_digests(table(spark, sf_dir, "documents"))
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-store")
     token_output.write_token_store(table(spark, sf_dir, "documents"), folder)
     return token_output.token_digests(token_output.read_token_store(spark, folder))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encode_documents(table(spark, sf_dir, "documents"), keep=False)
 
 
-QUERIES = {query.__name__: query for query in (op1_token_counts, op5_token_output, op7_bpe_automaton)}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("items")
+
+
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op1_token_counts, op3_secret_scan, op5_token_output, op6_quality_rules, op7_bpe_automaton, op9_decontamination,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}
