@@ -28,6 +28,7 @@ from touchline.llm.support import BYTE_BPE, stored, tokenizer_file
 
 END_ID = 0
 BLOCK_IDS = 200_000  # ids after which a block ends with its document
+LIBRARY_WORDS = 2_000  # words in one call of the library, whose results are large
 SHARD_BYTES = 32 * 1024 * 1024  # of staged ids, two bytes each
 BLOCKS = (
     "shard int, block int, first_id bigint, doc_ids binary, lengths binary, control binary, data binary"
@@ -77,24 +78,27 @@ def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
         specials = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
         ids_of_special = list(specials.values())
 
-        def results(words: list[str]) -> list[np.ndarray]:
-            plain = [w for w in words if not "\ud800" <= w < "\udfff"]
-            found = iter(library.encode_batch_fast(plain, add_special_tokens=False))
-            return [
-                np.array([ids_of_special[ord(w) - 0xD800]] if "\ud800" <= w < "\udfff" else next(found).ids, width)
-                for w in words
-            ]
-
-        memo = pretokens.WordMemo(results)
+        def results(words: list[str]) -> list[bytes]:
+            found = []
+            for k in range(0, len(words), LIBRARY_WORDS):
+                some = words[k : k + LIBRARY_WORDS]
+                marks = ["\ud800" <= w < "\udfff" for w in some]
+                ids = library.encode_batch_fast(["" if m else w for w, m in zip(some, marks)], add_special_tokens=False)
+                found += [
+                    np.array([ids_of_special[ord(w) - 0xD800]] if m else e.ids, width).tobytes() for w, m, e in zip(some, marks, ids)
+                ]
+            return found
+
+        memo = pretokens.WordMemo(results, 200_000)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             parts: list[list[bytes]] = [[] for _ in texts]
             for owners, slots, bounds in pretokens.encoded(texts, specials, True, None, memo):
                 used, inverse = np.unique(slots, return_inverse=True)
                 words = [memo.values[s] for s in used.tolist()]
-                lengths = np.fromiter(map(len, words), np.int64, len(words))
+                lengths = np.fromiter(map(len, words), np.int64, len(words)) // np.dtype(width).itemsize
                 starts = np.cumsum(lengths) - lengths
-                flat = np.concatenate(words) if words else np.empty(0, width)
+                flat = np.frombuffer(b"".join(words), width)
                 ids = _ragged(flat, starts[inverse], lengths[inverse])
                 ends = np.concatenate([[0], np.cumsum(lengths[inverse])])[bounds].tolist()
                 for k, begin, end in zip(owners, ends, ends[1:]):
@@ -119,7 +123,7 @@ def write_token_store(
 ) -> None:
     """Encode every text and write the store in ascending document id.
 
-    A NULL text is the end id alone; rows with equal ids stay apart (in the order of their token bytes), a NULL id
+    A NULL text is the end id alone; rows with equal ids stay apart (in a fixed order), a NULL id
     comes first; other columns play no part; an empty table makes empty tables. The vocabulary bounds the rank table, not the corpus.
     """
     spark = docs.sparkSession
@@ -175,7 +179,8 @@ def write_token_store(
 
     total = staged.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
-    ordered = staged.repartitionByRange(shards, "doc_id", "ids").sortWithinPartitions("doc_id", "ids")
+    # The tie breaker is short because Spark samples the range keys on the driver.
+    ordered = staged.withColumn("tie", F.xxhash64("ids")).repartitionByRange(shards, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "ids")
     ordered.mapInArrow(code, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
