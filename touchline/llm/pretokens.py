@@ -138,6 +138,11 @@ def cut(joined: str, keep_space: bool) -> tuple[np.ndarray, np.ndarray, np.ndarr
         keep &= kind != SPACE
         starts, ends = starts[keep], ends[keep]
 
+    return starts, ends, run_hashes(codes, starts, ends), codes[starts] == ord(TEXT_END)
+
+
+def run_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of codes, by differences of one running sum."""
     powers, inverses = _Tables.powers_to(len(codes))
     mixed = codes.astype(np.uint64) * np.uint64(_MIX)
     mixed ^= mixed >> np.uint64(29)
@@ -145,7 +150,33 @@ def cut(joined: str, keep_space: bool) -> tuple[np.ndarray, np.ndarray, np.ndarr
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
     hashes = (sums[ends] - sums[starts]) * inverses[starts]
     hashes ^= (ends - starts).astype(np.uint64) * np.uint64(_BASE)
-    return starts, ends, hashes, codes[starts] == ord(TEXT_END)
+    return scrambled(hashes)
+
+
+def scrambled(values: np.ndarray) -> np.ndarray:
+    """A one-to-one mixing of 64-bit values."""
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(_MIX)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))
+
+
+def blank_word_hashes(texts: list[str | None]) -> list[np.ndarray]:
+    """Hashes of each text's runs of anything but blank, tab, line feed, vertical tab, form feed and carriage return,
+    with A-Z lower-cased."""
+    found: list[list[np.ndarray]] = [[] for _ in texts]
+    for batch in pieces(texts):
+        joined = "".join(text + TEXT_END for _, text in batch)
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+        codes[(codes >= 65) & (codes <= 90)] += 32
+        mark = codes == ord(TEXT_END)
+        apart = mark | (codes == 32) | ((codes >= 9) & (codes <= 13))
+        edges = np.diff(np.concatenate([[True], apart, [True]]).astype(np.int8))
+        starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+        hashes = run_hashes(codes, starts, ends)
+        bounds = np.concatenate([[0], np.searchsorted(starts, np.flatnonzero(mark))])
+        for (k, _), begin, end in zip(batch, bounds[:-1], bounds[1:]):
+            found[k].append(hashes[begin:end])
+    return [np.concatenate(x) if len(x) > 1 else x[0] for x in found]
 
 
 class WordMemo:
@@ -155,11 +186,17 @@ class WordMemo:
         self.encode, self.limit = encode, limit
         self.keys, self.slots, self.values = np.empty(0, np.uint64), np.empty(0, np.int64), []
 
+    def _forget(self) -> None:
+        """Back to the first words that came, common ones among them: a matter of time and memory only."""
+        first = self.slots < self.limit
+        self.keys, self.slots = self.keys[first], self.slots[first]
+        del self.values[self.limit :]
+
     def slots_of(self, joined: str, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        """The slot in `values` of each word. The memo starts anew when it is full: a matter of time only."""
+        """The slot in `values` of each word, valid until the next call."""
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) > self.limit:
-            self.keys, self.slots, self.values = np.empty(0, np.uint64), np.empty(0, np.int64), []
+            self._forget()
         at = np.searchsorted(self.keys, distinct)
         known = np.zeros(len(distinct), bool)
         inside = at < len(self.keys)
@@ -176,6 +213,16 @@ class WordMemo:
         return slots[inverse]
 
 
+_MEMOS: dict[tuple, WordMemo] = {}
+
+
+def kept_memo(name: tuple, encode: Callable[[list[str]], list]) -> WordMemo:
+    """The memo of this name in a worker process, which serves several tasks."""
+    memo = _MEMOS.setdefault(name, WordMemo(encode))
+    memo.encode = encode
+    return memo
+
+
 def encoded(
     texts: list[str | None], specials: dict[str, int], keep_space: bool, normal: Callable[[str], str] | None, memo: WordMemo
 ) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:

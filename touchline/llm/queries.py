@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import bpe_automaton, decontamination, quality_rules, secret_scan, token_counts, token_output
+from touchline.llm import (
+    bpe_automaton, decontamination, parity_join, quality_rules, secret_scan, token_counts, token_output,
+)
 from touchline.llm.support import table
 from touchline.session import scratch_path
 
@@ -36,10 +38,15 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("items")
 
 
+def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.near_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_token_counts, op3_secret_scan, op5_token_output, op6_quality_rules, op7_bpe_automaton, op9_decontamination,
+        op10_parity_join,
     )
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -89,7 +89,7 @@ def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
                 ]
             return found
 
-        memo = pretokens.WordMemo(results, 200_000)
+        memo = pretokens.kept_memo(("ids", path), results)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             parts: list[list[bytes]] = [[] for _ in texts]
