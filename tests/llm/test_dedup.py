@@ -5,8 +5,10 @@ import random
 import numpy as np
 import pytest
 from brute import near_components as brute_components
+from brute import repeats as brute_repeats
 
-from touchline.llm import parity_join
+from touchline.llm import parity_join, suffix_dedup
+from touchline.llm.lyndon_suffixes import suffix_array
 from touchline.llm.support import components
 
 
@@ -82,3 +84,57 @@ def test_components(spark):
     for a, b in edges:
         up[max(root(a), root(b))] = min(root(a), root(b))
     assert got == {x: root(x) for e in edges if e[0] != e[1] for x in e}
+
+
+def test_suffix_array():
+    dice = random.Random(0)
+    for _ in range(1500):
+        symbols = dice.choice([1, 2, 3, 26])
+        text = [dice.randint(1, symbols) for _ in range(dice.randint(0, 40))] + [0]
+        assert suffix_array(text) == sorted(range(len(text)), key=lambda k: text[k:])
+
+
+def repeated_texts(dice):
+    pool = [f"wört{k}" if k % 7 == 0 else f"w{k}" for k in range(300)]
+    line = lambda n: " ".join(dice.choice(pool) for _ in range(n))
+    passage, foot = line(40), line(20)
+    texts = [None, "", "short", "a" * 99, "a" * 100, "a" * 350, "ab" * 200, passage, "é😀" * 60, "é😀" * 60]
+    for k in range(60):
+        text = line(dice.randint(5, 120))
+        if k % 3 == 0:
+            at = dice.randrange(len(text))
+            text = text[:at] + passage[dice.randrange(30) :] + text[at:]
+        if k % 4 == 0:
+            text += "\n" + foot
+        texts.append(text)
+        if k % 5 == 0:
+            at = dice.randrange(len(text))
+            texts += [text, text[:at] + "x" + text[at + 1 :]]
+    dice.shuffle(texts)
+    return [(2 * k, t) for k, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("per_anchor", [2000, 2])
+def test_repeats_equal_brute_force(documents, per_anchor):
+    rows = repeated_texts(random.Random(per_anchor))
+    got = suffix_dedup.suffix_dedup(documents(rows), per_anchor=per_anchor).collect()
+    assert {r["doc_id"]: tuple(r)[1:5] for r in got} == brute_repeats(rows)
+    for r in got:
+        assert len(r["kept"]) == r["n_bytes"] - r["n_removed"] and len(r["spans"]) == r["n_spans"]
+
+
+def test_chunks_do_not_change_repeats(documents, monkeypatch):
+    rows = repeated_texts(random.Random(3))
+    monkeypatch.setattr(suffix_dedup, "_CHUNK", 150)
+    data = next(t for _, t in rows if t and len(t) > 600).encode()
+    whole = suffix_dedup.contexts(data, 100, 24)
+    assert whole[3].sum() == len(data) - 99 and whole[2][0] == 0
+
+
+def test_repeats_edges(documents):
+    text = " ".join(f"v{k}" for k in range(60))
+    rows = [(None, text), (4, text), (4, text), (4, "other"), (1, text + text)]
+    got = sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"]) for r in suffix_dedup.suffix_dedup(documents(rows)).collect())
+    n = len(text)
+    assert got == [("1", 2 * n, 2 * n), ("4", 5, 0), ("4", n, n), ("4", n, n), ("None", n, 0)]
+    assert suffix_dedup.suffix_dedup(documents([])).collect() == []

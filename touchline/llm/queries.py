@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.llm import (
-    bpe_automaton, decontamination, parity_join, quality_rules, secret_scan, token_counts, token_output,
+    bpe_automaton, decontamination, parity_join, quality_rules, secret_scan, suffix_dedup, token_counts,
+    token_output,
 )
 from touchline.llm.support import table
 from touchline.session import scratch_path
@@ -15,6 +16,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), keep=False)
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digests(table(spark, sf_dir, "documents"))
 
@@ -45,7 +50,7 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_token_counts, op3_secret_scan, op5_token_output, op6_quality_rules, op7_bpe_automaton, op9_decontamination,
+        op1_token_counts, op2_suffix_dedup, op3_secret_scan, op5_token_output, op6_quality_rules, op7_bpe_automaton, op9_decontamination,
         op10_parity_join,
     )
 }
