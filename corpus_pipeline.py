@@ -1,25 +1,48 @@
-"""A corpus from raw documents to token ids: each stage is one operator of touchline.llm over all that the one before kept."""
+"""A corpus from raw documents to token ids.
+
+Each stage is one operator of touchline.llm over all that the one before kept, and is stored before the next one reads
+it: quality rules drop junk, the n-gram Jaccard join leaves one document of each near-duplicate group, decontamination
+drops documents that hold benchmark passages, the secret scan replaces secrets, and BPE turns the texts into ids.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import bpe_automaton
+from touchline.llm import bpe_automaton, decontamination, parity_join, quality_rules, secret_scan
 from touchline.llm.support import stored, table
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(docs, table(spark, sf_dir, "labels"), keep_columns=True)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return parity_join.one_of_each(docs)
+
+
+def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def replace_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secret_scan.redacted(docs)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each document that is left."""
-    return bpe_automaton.encode_documents(docs, keep=False)
+    return bpe_automaton.encode_documents(docs)
 
 
-STAGES = [("bpe encoding", encode)]
+STAGES = [
+    ("quality rules", keep_good), ("near duplicates", keep_one_of_each), ("decontamination", keep_uncontaminated),
+    ("secret scan", replace_secrets), ("bpe encoding", encode),
+]
 
-ORACLE_SQL = None
+ORACLE_SQL = None  # the token ids and the hashed likelihood ratios have no SQL form
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return docs

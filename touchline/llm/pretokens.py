@@ -53,6 +53,10 @@ class _Tables:
         return cls.powers, cls.inverses
 
 
+def character_classes(codes: np.ndarray) -> np.ndarray:
+    return _Tables.classes_to(int(codes.max(initial=0)))[codes]
+
+
 def special_marks(specials: dict[str, int]) -> tuple[re.Pattern | None, dict[str, str]]:
     """The pattern that finds special strings, and the surrogate that stands for each."""
     if not specials:
@@ -97,7 +101,7 @@ def cut(joined: str, keep_space: bool) -> tuple[np.ndarray, np.ndarray, np.ndarr
     keep_space=True: digit runs stay whole and a blank joins the run behind it; other white space is a run of its own.
     """
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    kinds = _Tables.classes_to(int(codes.max()))[codes]
+    kinds = character_classes(codes)
     change = np.empty(len(kinds), bool)
     change[0] = True
     np.not_equal(kinds[1:], kinds[:-1], out=change[1:])

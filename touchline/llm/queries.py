@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.llm import (
-    bpe_automaton, decontamination, parity_join, quality_rules, secret_scan, suffix_dedup, token_counts,
-    token_output,
+    bpe_automaton, decontamination, language_id, parity_join, quality_rules, secret_scan, suffix_dedup, token_counts,
+    token_output, warc,
 )
 from touchline.llm.support import table
 from touchline.session import scratch_path
@@ -24,6 +24,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digests(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return language_id.identify(documents, language_id.fit(documents))
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-store")
     token_output.write_token_store(table(spark, sf_dir, "documents"), folder)
@@ -38,6 +43,15 @@ def op7_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encode_documents(table(spark, sf_dir, "documents"), keep=False)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), f"{folder}/archives")
+    warc.write_index(spark, f"{folder}/archives", f"{folder}/index")
+    return warc.read_index(spark, f"{folder}/index").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "stamp"
+    )
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("items")
@@ -50,7 +64,7 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_token_counts, op2_suffix_dedup, op3_secret_scan, op5_token_output, op6_quality_rules, op7_bpe_automaton, op9_decontamination,
+        op1_token_counts, op2_suffix_dedup, op3_secret_scan, op4_language_id, op5_token_output, op6_quality_rules, op7_bpe_automaton, op8_warc, op9_decontamination,
         op10_parity_join,
     )
 }
