@@ -34,6 +34,19 @@ def test_mart_refresh_touches_only_new_seasons(spark, csv_folder, tmp_path):
     assert sorted(r.position for r in places.collect()) == list(range(1, 9))
 
 
+def test_a_refreshed_season_without_matches_leaves_the_mart(spark, csv_folder, tmp_path):
+    lake, mart = str(tmp_path / "lake"), str(tmp_path / "mart")
+    batch.ingest_folder(spark, str(csv_folder), lake, season_from_file=True)
+    nameless = read_lake(spark, lake).limit(1).withColumn("season", F.lit(None).cast("string"))
+    nameless.write.mode("append").partitionBy("season").parquet(lake)
+    batch.refresh_standings(spark, lake, mart)
+    assert {r.season for r in read_lake(spark, mart, schema.STANDINGS).collect()} == {"2023-24", "2024-25"}
+    left = str(tmp_path / "left")
+    read_lake(spark, lake).filter("season = '2024-25'").write.partitionBy("season").parquet(left)
+    batch.refresh_standings(spark, left, mart, refresh_seasons=["2023-24", "2024-25"])
+    assert {r.season for r in read_lake(spark, mart, schema.STANDINGS).collect()} == {"2024-25"}
+
+
 def test_invalid_rows_stop_or_are_set_aside(spark, tmp_path):
     header = ",".join(schema.RAW_CSV.names)
     (tmp_path / "2023-24.csv").write_text(

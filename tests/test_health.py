@@ -131,15 +131,55 @@ def test_absolute_values_labels_and_nulls(spark):
     frame = samples(spark, rows).unionByName(
         spark.createDataFrame([(at(1), "delta", {"severity": "critical"}, None)], SAMPLES)
     )
-    rule = health.Rule("Delta", "delta", ">", 100.0, absolute=True, label="severity", label_value="critical")
+    rule = health.Rule("Delta", "delta", ">", 100.0, absolute=True, labels={"severity": "critical"})
     found = health.sustained_alerts(frame, [rule]).collect()
     assert [(r.series, r.samples, r.peak) for r in found] == [("severity=critical", 1, -150.0)]
 
 
 def test_default_rules_run(spark):
-    rows = [(s, "kafka_consumergroup_lag", {"group": "g"}, 6000) for s in range(0, 400, 30)]
-    found = {r.alert for r in health.sustained_alerts(samples(spark, rows), health.default_rules()).collect()}
-    assert found == {"KafkaConsumerLagHigh", "KafkaConsumerLagCritical"}
+    lag = [(s, "kafka_consumergroup_lag", {"consumergroup": g}, 6000) for s in range(0, 400, 30) for g in ("mine", "other")]
+    model = [(0, "mlflow_latest_metric", {"metric": m, "model": "a"}, 0.1) for m in ("loss", "accuracy")]
+    breaches = [(s, "sla_breaches_total", {"severity": v}, s) for s in (0, 60) for v in ("critical", "high")]
+    still = [(s, "kafka_consumergroup_current_offset", {"consumergroup": "mine"}, 7) for s in range(0, 700, 50)]
+    frame = samples(spark, lag + model + breaches + still)
+    found = {(r.alert, r.series) for r in health.sustained_alerts(frame, health.default_rules("mine", model_name="a")).collect()}
+    assert found == {
+        ("KafkaConsumerLagHigh", "consumergroup=mine"), ("KafkaConsumerLagCritical", "consumergroup=mine"),
+        ("ModelAccuracyDropped", "metric=accuracy,model=a"), ("SLABreachAlert", "severity=critical"),
+        ("SLABreachAlert", "severity=high"), ("SLACriticalBreachAlert", "severity=critical"),
+        ("KafkaOffsetCommitRateDropped", "consumergroup=mine"),
+    }
+    anyone = health.sustained_alerts(frame, health.default_rules()).filter("alert = 'KafkaConsumerLagHigh'")
+    assert anyone.count() == 2
+
+
+@pytest.mark.parametrize("sign", ["=>", "", "<>", None])
+def test_unknown_comparisons_are_refused(sign):
+    with pytest.raises(ValueError, match="comparison"):
+        health.Rule("Odd", "m", sign, 1.0)
+
+
+def test_a_third_of_all_samples_on_one_counter(spark):
+    """Windows longer than any bucket and any stretch of buckets; every sample stays one row."""
+    rows = [(60 * k, "c", {"user": "hot" if k % 3 == 0 else str(k % 50)}, k % 700) for k in range(6000)]
+    rows = [(t, m, u, v) for t, m, u, v in rows]
+    found = {
+        (r.series.split("=")[1], int((r.ts - START).total_seconds())): r.increase
+        for r in health.counter_increase(samples(spark, rows), 86400, 60).collect()
+    }
+    points = {}
+    for t, _, labels, v in rows:
+        points.setdefault(labels["user"], []).append((t, float(v)))
+    assert len(found) == 6000
+    for user, series in points.items():
+        first, total, totals = 0, 0.0, []
+        for k, (t, v) in enumerate(series):
+            if k:
+                total += v if v < series[k - 1][1] else v - series[k - 1][1]
+            totals.append(total)
+            while series[first][0] < t - 86400:
+                first += 1
+            assert found[user, t] == pytest.approx(total - totals[first])
 
 
 # Counters.
@@ -208,7 +248,7 @@ def test_rollup_and_series_names(spark):
     assert names == {"a=1,b=2", "a=2", ""}
 
 
-def test_limits_have_a_size_bound(spark):
+def test_any_number_of_limits(spark):
     assert set(EVENT_LIMITS_SEC) and len(fixed.STAGE_LIMITS_SEC) == 6
-    with pytest.raises(ValueError):
-        health.stage_breaches(runs(spark, ("1", "s", 0, 1)), {str(i): i for i in range(2000)})
+    table = runs(spark, ("1", "7", 0, 9), ("2", "s", 0, 9))
+    assert [r.run_id for r in health.stage_breaches(table, {str(i): i for i in range(2000)}).collect()] == ["1"]

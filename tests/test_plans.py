@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from touchline.operators import keyed, league, quality, reports, scoring
+from touchline.operators import health, keyed, league, quality, reports, scoring
 from touchline.operators.enrich import enrich
 from touchline.plans.queries import QUERIES
 from touchline.sinks.lake import write_matches
@@ -14,8 +14,8 @@ from touchline.sources.lake import read_lake
 
 SF_DIR = "/root/testdata/sf0.001"
 NEEDS_DATA = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables are not here")
-WRITES_FILES = {"csv_multi_file", "lake_roundtrip", "lake_merge_upsert", "stream_ingest_once", "train_predict",
-                "train_accuracy"}
+WRITES_FILES = {"csv_multi_file", "lake_roundtrip", "lake_merge_upsert", "stream_ingest_once", "staging_upsert",
+                "train_predict", "train_accuracy"}
 
 
 def plan(df) -> str:
@@ -101,6 +101,31 @@ def test_orphans_meet_as_one_row_per_key(spark, lake):
     assert len(re.findall("HashAggregate", below_join)) == 4  # partial and final, on both sides
 
 
+def test_merges_compute_their_source_once(spark, lake, tmp_path):
+    rows = read_lake(spark, lake)
+    source = str(tmp_path / "source")
+    rows.limit(3).write.parquet(source)
+    for merge in (
+        lambda: keyed.upsert_rows(rows, spark.read.schema(rows.schema).parquet(source), ["match_id"]),
+        lambda: keyed.insert_only_rows(rows, spark.read.schema(rows.schema).parquet(source), ["match_id"]),
+        lambda: keyed.update_some_rows(rows, spark.read.schema(rows.schema).parquet(source), ["match_id"], ["home_goals"]),
+    ):
+        assert "/source" not in plan(merge())
+
+
+def test_rule_metrics_and_times_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "samples")
+    spark.sql(
+        "SELECT TIMESTAMP '2024-01-01 00:00:00' AS ts, 'lag' AS metric, map('a', 'b') AS labels, 1.0D AS value"
+    ).write.parquet(path)
+    rows = spark.read.parquet(path)
+    assert re.search(r"PushedFilters: \[.*(In\(metric, \[lag,load\]\)|EqualTo\(metric)", plan(health.rule_states(
+        rows, [health.Rule("A", "lag", ">", 1.0), health.Rule("B", "load", "<", 1.0)])))
+    now = F.lit("2024-01-02 00:00:00").cast("timestamp")
+    text = plan(health.missing_series(rows, rows.select("metric", F.lit("x").alias("series")), now, 60))
+    assert re.search(r"PushedFilters: \[.*GreaterThan\(ts,2024-01-01", text)
+
+
 def test_unscored_reads_only_keys_of_the_predictions(spark, lake):
     rows = read_lake(spark, lake)
     assert "ReadSchema: struct<match_id:string>" in plan(scoring.unscored(rows, rows))

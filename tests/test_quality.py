@@ -68,7 +68,7 @@ def test_column_tests(matches, match_row):
     assert found[("match_id", "unique")] == (1, False)
     assert found[("away_goals", "not_null")] == (1, False)
     assert found[("season", "not_null")] == (0, True)
-    assert ("matchday", "not_null") not in found
+    assert found[("matchday", "not_null")] == (None, False)
 
 
 def test_null_profile(matches, match_row):

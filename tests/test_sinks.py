@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 from touchline import schema
 from touchline.operators import keyed
 from touchline.operators.enrich import enrich
-from touchline.sinks import merge
 from touchline.sinks.lake import append_breaches, write_mart, write_matches, write_table
 from touchline.sinks.merge import merge_table, stage_messages
 from touchline.sources.lake import read_lake, read_table_or_none
@@ -127,19 +126,36 @@ def test_duplicate_and_orphan_counts(spark):
 # Merges into stored tables.
 
 
-@pytest.mark.parametrize("listed", [True, False])
-def test_table_upsert_moves_keys_between_partitions(spark, tmp_path, monkeypatch, join_way, listed):
-    monkeypatch.setattr(merge, "MAX_LISTED_PARTITIONS", 100 if listed else 0)
+def test_table_upsert_moves_keys_between_partitions(spark, tmp_path, join_way):
     path = str(tmp_path / "t")
     merge_table(table(spark, ("a", "s1", 1, "x"), ("b", "s2", 2, "x"), ("c", "s3", 3, "x")), path, ROW, ["match_id"])
     moved = table(spark, ("a", "s2", 5, "y"), ("d", "s4", 6, "y"))
-    for _ in range(2):
-        assert merge_table(moved, path, ROW, ["match_id"]) == 2
+    for written in (2, 0):
+        assert merge_table(moved, path, ROW, ["match_id"]) == written
         found = content(read_lake(spark, path, ROW, columns=ROW.names))
         assert found == {("a", "s2", 5, "y"), ("b", "s2", 2, "x"), ("c", "s3", 3, "x"), ("d", "s4", 6, "y")}
     assert read_lake(spark, path, ROW, where="season = 's1'").count() == 0
 
 
+def test_a_repeated_upsert_keeps_every_file(spark, tmp_path, join_way):
+    path = str(tmp_path / "t")
+    merge_table(table(spark, ("a", "s1", 1, "x"), ("b", "s2", None, "x"), ("c", None, 3, "x")), path, ROW, ["match_id"])
+    changes = table(spark, ("a", "s1", 5, "y"), ("b", "s2", None, "x"), ("d", "s2", 1, "z"))
+    assert merge_table(changes, path, ROW, ["match_id"]) == 2
+    files = sorted(read_lake(spark, path, ROW).inputFiles())
+    assert merge_table(changes, path, ROW, ["match_id"]) == 0
+    assert sorted(read_lake(spark, path, ROW).inputFiles()) == files
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]  # no staging copy is left
+
+
+def test_older_rows_do_not_replace_newer_ones(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge_table(table(spark, ("a", "s1", 5, "x"), ("b", "s1", 5, "x")), path, ROW, ["match_id"])
+    late = table(spark, ("a", "s1", 4, "y"), ("b", "s1", 6, "y"))
+    assert merge_table(late, path, ROW, ["match_id"], guard=["home_goals"]) == 1
+    assert content(read_lake(spark, path, ROW, columns=ROW.names)) == {("a", "s1", 5, "x"), ("b", "s1", 6, "y")}
+
+
 def test_partition_names_that_need_escaping(spark, tmp_path):
     path = str(tmp_path / "t")
     odd = "20/21: a=b%"
@@ -194,6 +210,18 @@ def test_staging_stamps_the_time(spark, tmp_path):
     assert isinstance(row.ingested_at, dt.datetime)
 
 
+def test_staging_keeps_the_last_message(spark, tmp_path):
+    sent = [("a", "s1", 5, "x", 10, 0, 1), ("a", "s1", 2, "x", 12, 0, 2), ("b", "s1", 7, "x", 12, 0, 3), ("b", "s1", 1, "x", 12, 0, 4)]
+    rows = spark.createDataFrame(
+        [(*r[:4], dt.datetime(2024, 1, 1, r[4]), *r[5:]) for r in sent],
+        "match_id STRING, season STRING, home_goals INT, result STRING, kafka_timestamp TIMESTAMP, kafka_partition INT, "
+        "kafka_offset BIGINT",
+    )
+    path = str(tmp_path / "staging")
+    assert stage_messages(rows, path, ROW) == 2
+    assert {(r.match_id, r.home_goals) for r in spark.read.parquet(path).collect()} == {("a", 2), ("b", 1)}
+
+
 def test_breaches_are_appended(spark, tmp_path):
     path = str(tmp_path / "breaches")
     rows = spark.createDataFrame(

@@ -74,5 +74,14 @@ HELD_RULES = [
 ]
 INCREASE_WINDOW_SEC = 3600
 
+# Rules on growth within the last hour (alert, counter, severity, labels), and on counters that stand
+# still (alert, counter, window seconds, hold seconds).
+INCREASE_RULES = [
+    ("SLABreachAlert", "sla_breaches_total", "warning", {}),
+    ("SLACriticalBreachAlert", "sla_breaches_total", "critical", {"severity": "critical"}),
+    ("QualityCheckFailureAlert", "quality_check_failures_total", "warning", {}),
+]
+STALLED_RULES = [("KafkaOffsetCommitRateDropped", "kafka_consumergroup_current_offset", 300, 300)]
+
 # Training defaults.
 BOOSTING_ROUNDS, TREE_DEPTH, LEARNING_RATE = 100, 4, 0.1

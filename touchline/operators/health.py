@@ -1,14 +1,15 @@
 """Pipeline health over run, event and metric tables.
 
 Metric samples are (ts, metric, labels, value). A single series may hold any share of all samples, so no window
-spans the samples of a whole series: windows are cut into time buckets, and what crosses a bucket border is either
-carried as an overlap of one window (counters) or stitched from at most two rows per bucket (held rules).
+spans the samples of a whole series: windows are cut into time buckets, and what crosses a bucket border is stitched
+from a row per bucket (counters) or at most two (held rules), level by level.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,10 +17,11 @@ from pyspark.sql.window import Window
 
 from touchline import fixed
 from touchline.functions import timing
+from touchline.operators.keyed import small_enough
 
 C = F.col
 _MICROS = 1_000_000
-MAX_LITERAL_RULES = 1_000
+_COMPARISONS = {">": "__gt__", ">=": "__ge__", "<": "__lt__", "<=": "__le__", "==": "__eq__", "!=": "__ne__"}
 
 
 # Runs and stage limits.
@@ -40,23 +42,21 @@ def run_states(events: DataFrame) -> DataFrame:
     )
 
 
-def _limit_of(stage: Column, limits: Mapping[str, int]) -> Column:
-    """The stage's limit from a literal map; NULL for a stage without one. No join for a table this size."""
-    if len(limits) > MAX_LITERAL_RULES:
-        raise ValueError(f"more than {MAX_LITERAL_RULES} stage limits: join them as a table instead")
-    pairs = [F.lit(x) for item in limits.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), stage)
+def _small_table(df: DataFrame, rows: list[tuple], ddl: str) -> DataFrame:
+    """Rows known to the driver as a table beside df; broadcast while they are few."""
+    made = df.sparkSession.createDataFrame(rows, ddl)
+    return F.broadcast(made) if small_enough(len(rows), sum(len(str(r)) for r in rows)) else made
 
 
 def _breaches(runs: DataFrame, end: Column, limits: Mapping[str, int]) -> DataFrame:
-    timed = runs.select(
-        "run_id", "stage",
-        _limit_of(C("stage"), limits).alias("expected_sec"),
+    expected = _small_table(runs, list(limits.items()), "stage STRING, expected_sec INT")
+    timed = runs.join(expected, "stage").select(
+        "run_id", "stage", "expected_sec",
         timing.seconds_between(C("start_ts"), end).alias("actual"),
-        timing.overrun(C("start_ts"), end, _limit_of(C("stage"), limits)).alias("over"),
+        timing.overrun(C("start_ts"), end, C("expected_sec")).alias("over"),
         end.alias("breach_time"),
     )
-    over = timed.filter(C("actual") > C("expected_sec"))  # strictly; NULL limits drop out
+    over = timed.filter(C("actual") > C("expected_sec"))  # strictly
     return over.select(
         "run_id", "stage", "expected_sec",
         F.bround("actual", 3).alias("actual_sec"),
@@ -96,7 +96,11 @@ def series_name(labels: Column) -> Column:
 
 @dataclass(frozen=True)
 class Rule:
-    """A threshold that must hold for `hold_sec`; rules with the same alert name are alternatives."""
+    """A threshold that must hold for `hold_sec` on the series that carry all of `labels`.
+
+    With `window_sec` the metric is a counter, and its growth over the trailing window is compared (with `per_second`,
+    that growth as a rate). Rules with the same alert name are alternatives.
+    """
 
     alert: str
     metric: str
@@ -105,27 +109,69 @@ class Rule:
     hold_sec: int = 0
     absolute: bool = False
     severity: str = "warning"
-    label: str | None = None
-    label_value: str | None = None
-
-
-def default_rules() -> list[Rule]:
-    return [Rule(*row) for row in fixed.HELD_RULES]
+    labels: Mapping[str, str] = field(default_factory=dict)
+    window_sec: int = 0
+    per_second: bool = False
+
+    def __post_init__(self):
+        if self.comparison not in _COMPARISONS:
+            raise ValueError(f"unknown comparison {self.comparison!r} in rule {self.alert}")
+
+
+def default_rules(
+    consumer_group: str | None = None, dag_id: str | None = None, model_name: str | None = None
+) -> list[Rule]:
+    """The fixed rules. Those on a consumer group, a scheduled flow or a model watch the named one, or any if none is
+    named; the accuracy rule watches accuracy only."""
+    group = {"consumergroup": consumer_group} if consumer_group else {}
+    flow = {"dag_id": dag_id} if dag_id else {}
+    accuracy = {"metric": "accuracy", **({"model": model_name} if model_name else {})}
+    of_metric = {"kafka_consumergroup_lag": group, "mlflow_latest_metric": accuracy}
+    of_metric |= {f"airflow_dag_run_{name}": flow for name in ("duration", "duration_success", "failed")}
+    held = [Rule(*row, labels=of_metric.get(row[1], {})) for row in fixed.HELD_RULES]
+    grown = [
+        Rule(alert, metric, ">", 0.0, 0, severity=severity, labels=labels, window_sec=fixed.INCREASE_WINDOW_SEC)
+        for alert, metric, severity, labels in fixed.INCREASE_RULES
+    ]
+    stalled = [
+        Rule(alert, metric, "==", 0.0, hold, labels=group, window_sec=window, per_second=True)
+        for alert, metric, window, hold in fixed.STALLED_RULES
+    ]
+    return [*held, *grown, *stalled]
 
 
 _RULE_DDL = (
     "alert STRING, metric STRING, comparison STRING, limit DOUBLE, hold_sec INT, absolute BOOLEAN, "
-    "severity STRING, label STRING, label_value STRING"
+    "severity STRING, wanted MAP<STRING, STRING>"
 )
+_CONDITION = ["alert", "severity", "hold_sec", "series", "ts"]
+
 
+def _watched(samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Samples of the rules' metrics only: a literal list, which reaches the scan."""
+    return samples.filter(C("metric").isin(sorted({r.metric for r in rules})))
 
-def _rule_table(samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+
+def _conditions(samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """A row per sample and rule that watches it."""
     rows = [
-        (r.alert, r.metric, r.comparison, float(r.limit), r.hold_sec, r.absolute, r.severity, r.label, r.label_value)
+        (r.alert, r.metric, r.comparison, float(r.limit), r.hold_sec, r.absolute, r.severity, dict(r.labels))
         for r in rules
     ]
-    table = samples.sparkSession.createDataFrame(rows, _RULE_DDL)
-    return F.broadcast(table) if len(rows) <= MAX_LITERAL_RULES else table
+    carries = F.forall(
+        F.map_entries("wanted"), lambda e: F.coalesce(F.try_element_at(C("labels"), e["key"]) == e["value"], F.lit(False))
+    )
+    probe = F.when(C("absolute"), F.abs("value")).otherwise(C("value"))
+    met = reduce(
+        lambda chain, sign: chain.when(C("comparison") == sign, getattr(probe, _COMPARISONS[sign])(C("limit"))),
+        _COMPARISONS, F,
+    )
+    return (
+        samples.join(_small_table(samples, rows, _RULE_DDL), "metric")
+        .filter(carries)
+        .withColumn("series", series_name(C("labels")))
+        .select(*_CONDITION, F.coalesce(met, F.lit(False)).alias("breach"), "value")
+    )
 
 
 def rule_states(samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -133,22 +179,21 @@ def rule_states(samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     An instant meets the condition if any alternative does. This also folds repeated samples of one instant.
     """
-    labels_match = C("label").isNull() | (F.try_element_at(C("labels"), C("label")) == C("label_value"))
-    probe = F.when(C("absolute"), F.abs("value")).otherwise(C("value"))
-    met = (
-        F.when(C("comparison") == ">", probe > C("limit"))
-        .when(C("comparison") == ">=", probe >= C("limit"))
-        .when(C("comparison") == "<", probe < C("limit"))
-        .when(C("comparison") == "<=", probe <= C("limit"))
-        .when(C("comparison") == "==", probe == C("limit"))
-        .otherwise(probe != C("limit"))
-    )
+    parts = []
+    for window in sorted({r.window_sec for r in rules}):
+        for per_second in (False, True):
+            some = [r for r in rules if r.window_sec == window and r.per_second == per_second]
+            if not some:
+                continue
+            watched = _watched(samples, some)
+            if window:
+                grown = counter_growth(watched, window)
+                growth = C("increase") / window if per_second else C("increase")
+                watched = grown.select("ts", "metric", "labels", growth.alias("value"))
+            parts.append(_conditions(watched, some))
     return (
-        samples.join(_rule_table(samples, rules), "metric")
-        .filter(labels_match)
-        .withColumn("series", series_name(C("labels")))
-        .withColumn("breach", F.coalesce(met, F.lit(False)))
-        .groupBy("alert", "severity", "hold_sec", "series", "ts")
+        reduce(DataFrame.union, parts)
+        .groupBy(*_CONDITION)
         .agg(F.bool_or("breach").alias("breach"), F.max(F.when(C("breach"), C("value"))).alias("value"))
     )
 
@@ -221,61 +266,114 @@ def sustained_alerts(
     )
 
 
-def counter_increase(
-    samples: DataFrame, window_sec: int = fixed.INCREASE_WINDOW_SEC, bucket_sec: int = 6 * 3600
-) -> DataFrame:
-    """For each sample, how much the counter grew over the trailing window: metric, series, ts, increase.
+_LEVEL = 1000  # buckets whose rows are summed up together, then as one row
+
+
+def _stitched(buckets: DataFrame) -> DataFrame:
+    """Per bucket of a series (first, last, inside: values and growth; NULL where it has only probes): the growth up to
+    its first sample, the growth from the last sample before it to that one, and the total at the next bucket's start.
 
-    Growth is summed over neighbouring samples that both lie in the window; after a reset the new value counts.
-    Samples of a bucket's last window are copied into the next bucket, so each bucket is complete on its own and a
-    task sees one bucket and one window of one series, however long the series is.
+    Rows are summed within _LEVEL buckets first and then over one row for each such stretch, so a task's window grows
+    with neither the series nor the samples in a bucket.
     """
-    span, width = window_sec * _MICROS, max(bucket_sec, window_sec) * _MICROS
+    series = ["metric", "series"]
+    low = Window.partitionBy(*series, "stretch").orderBy("bucket")
+    earlier, later = low.rowsBetween(Window.unboundedPreceding, -1), low.rowsBetween(1, Window.unboundedFollowing)
+    upto = low.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    high = Window.partitionBy(*series).orderBy("stretch")
+    before, behind = high.rowsBetween(Window.unboundedPreceding, -1), high.rowsBetween(1, Window.unboundedFollowing)
+
+    def step(previous: Column, value: Column) -> Column:
+        grown = F.when(value < previous, value).otherwise(value - previous)
+        return F.when(previous.isNull() | value.isNull(), 0.0).otherwise(grown)
+
+    placed = buckets.withColumn("stretch", F.floor(C("bucket") / _LEVEL))
+    placed = placed.withColumn("_previous", F.last("last", ignorenulls=True).over(earlier))
+    stretches = placed.groupBy(*series, "stretch").agg(
+        F.min(F.when(C("first").isNotNull(), F.struct("bucket", "first")))["first"].alias("_s_first"),
+        F.max(F.when(C("last").isNotNull(), F.struct("bucket", "last")))["last"].alias("_s_last"),
+        F.sum(step(C("_previous"), C("first")) + F.coalesce("inside", F.lit(0.0))).alias("_s_inside"),
+    )
+    stretches = (
+        stretches.withColumn("_s_previous", F.last("_s_last", ignorenulls=True).over(before))
+        .withColumn("_s_carry", step(C("_s_previous"), C("_s_first")))
+        .withColumn("_s_start", F.coalesce(F.sum(C("_s_carry") + C("_s_inside")).over(before), F.lit(0.0)))
+        .withColumn("_s_begin", F.when(C("_s_first").isNotNull(), C("_s_start") + C("_s_carry")))
+        .withColumn("_s_next", F.first("_s_begin", ignorenulls=True).over(behind))
+        .select(*series, "stretch", "_s_previous", "_s_start", "_s_next")
+    )
+    return (
+        placed.join(stretches, [*series, "stretch"])
+        .withColumn("_carry", step(F.coalesce("_previous", "_s_previous"), C("first")))
+        .withColumn("_through", F.sum(C("_carry") + F.coalesce("inside", F.lit(0.0))).over(upto))
+        .withColumn("begin", C("_s_start") + C("_through") - F.coalesce("inside", F.lit(0.0)))
+        .withColumn("_begin", F.when(C("first").isNotNull(), C("begin")))
+        .withColumn("next", F.coalesce(F.first("_begin", ignorenulls=True).over(later), C("_s_next")))
+        .select(*series, "bucket", "begin", "next")
+    )
+
+
+def counter_growth(samples: DataFrame, window_sec: int, bucket_sec: int = 600) -> DataFrame:
+    """For each sample, how much the counter grew over the trailing window: metric, series, labels, ts, increase.
+
+    Growth is summed over neighbouring samples that both lie in the window; after a reset the new value counts. It is
+    the running total at the sample less the running total at the first sample in the window. Totals run within short
+    buckets and are stitched over one row per bucket; the first sample of a window is looked up in the bucket in which
+    the window begins, or else is the first one of the next bucket that has any. A task sees one bucket of a series.
+    """
+    span, width = window_sec * _MICROS, bucket_sec * _MICROS
+    series = ["metric", "series"]
     instants = (
         samples.groupBy("metric", series_name(C("labels")).alias("series"), "ts")
-        .agg(F.max("value").alias("value"))
-        .withColumn("micros", F.unix_micros("ts"))
-        .withColumn("home", timing.time_bucket(C("micros"), width))
-    )
-    needed_later = (C("home") + 1) * width - C("micros") <= span
-    buckets = F.when(needed_later, F.array(C("home"), C("home") + 1)).otherwise(F.array(C("home")))
-    copies = instants.withColumn("bucket", F.explode(buckets))
-
-    order = Window.partitionBy("metric", "series", "bucket").orderBy("micros")
-    previous = F.lag("value").over(order)
-    growth = (
-        F.when(previous.isNull(), 0.0)
-        .when(C("value") < previous, C("value"))
-        .otherwise(C("value") - previous)
+        .agg(F.max("value").alias("value"), F.any_value("labels").alias("labels"))
+        .filter(C("value").isNotNull())
+        .withColumn("at", F.unix_micros("ts"))
+        .withColumn("bucket", timing.time_bucket(C("at"), width))
     )
+    inside = Window.partitionBy(*series, "bucket").orderBy("at")
+    previous = F.lag("value").over(inside)
+    step = F.when(previous.isNull(), 0.0).when(C("value") < previous, C("value")).otherwise(C("value") - previous)
     so_far = Window.unboundedPreceding, Window.currentRow
-    grown = copies.withColumn("growth", growth).withColumn("grown", F.sum("growth").over(order.rowsBetween(*so_far)))
-
-    # What the counter had grown by when a sample's window began is the running total of the first sample at or
-    # after that time. Each sample adds a probe at its window's beginning; read backwards, the sample last passed is
-    # the one looked for. A range frame would go through its whole window again for every sample.
-    def event(at: Column, probe: bool, seen: Column, ts: Column, now: Column) -> Column:
-        return F.struct(
-            at.alias("at"), F.lit(probe).alias("probe"), seen.alias("seen"), ts.alias("ts"), now.alias("now")
-        )
+    running = instants.withColumn("step", step).withColumn("run", F.sum("step").over(inside.rowsBetween(*so_far)))
+    begin = C("at") - span
 
-    none, no_time = F.lit(None).cast("double"), F.lit(None).cast("timestamp")
-    sample = event(C("micros"), False, C("grown"), no_time, none)
-    begin = event(C("micros") - span, True, none, C("ts"), C("grown"))
-    events = grown.select(
-        "metric", "series", "bucket",
-        F.inline(F.when(C("bucket") == C("home"), F.array(sample, begin)).otherwise(F.array(sample))),
+    sample_buckets = running.groupBy(*series, "bucket").agg(
+        F.min_by("value", "at").alias("first"), F.max_by("value", "at").alias("last"), F.sum("step").alias("inside")
     )
-    backwards = Window.partitionBy("metric", "series", "bucket").orderBy(F.desc("at"), "probe")
-    at_begin = F.last("seen", ignorenulls=True).over(backwards.rowsBetween(*so_far))
-    return (
-        events.withColumn("increase", C("now") - at_begin)
-        .filter("probe")
-        .select("metric", "series", "ts", "increase")
+    empty = [F.lit(None).cast("double").alias(n) for n in ("first", "last", "inside")]
+    probe_buckets = running.select(*series, timing.time_bucket(begin, width).alias("bucket"), *empty)
+    known = ["first", "last", "inside"]
+    buckets = sample_buckets.union(probe_buckets).groupBy(*series, "bucket").agg(*[F.max(n).alias(n) for n in known])
+    stitched = _stitched(buckets)
+
+    # In each bucket the samples, and a probe for each window that begins there. Read backwards, the sample last passed
+    # is the window's first one.
+    whole = running.join(stitched, [*series, "bucket"]).withColumn("total", C("begin") + C("run"))
+    none = F.lit(None)
+    sample = F.struct(
+        C("bucket"), C("at"), F.lit(False).alias("probe"), C("total").alias("seen"), none.cast("timestamp").alias("ts"),
+        none.cast("double").alias("now"), none.cast("map<string,string>").alias("labels"),
+    )
+    probe = F.struct(
+        timing.time_bucket(begin, width).alias("bucket"), begin.alias("at"), F.lit(True).alias("probe"),
+        none.cast("double").alias("seen"), C("ts"), C("total").alias("now"), C("labels"),
     )
+    events = whole.select(*series, F.inline(F.array(sample, probe)))
+    backwards = Window.partitionBy(*series, "bucket").orderBy(F.desc("at"), "probe")
+    found = events.withColumn("_start", F.last("seen", ignorenulls=True).over(backwards.rowsBetween(*so_far))).filter("probe")
+    following = stitched.select(*series, "bucket", "next")
+    at_begin = F.coalesce("_start", "next")
+    return found.join(following, [*series, "bucket"]).select(*series, "labels", "ts", (C("now") - at_begin).alias("increase"))
+
+
+def counter_increase(
+    samples: DataFrame, window_sec: int = fixed.INCREASE_WINDOW_SEC, bucket_sec: int = 600
+) -> DataFrame:
+    """Growth of each counter over the trailing window: metric, series, ts, increase."""
+    return counter_growth(samples, window_sec, bucket_sec).drop("labels")
 
 
-def counter_rate(samples: DataFrame, window_sec: int, bucket_sec: int = 6 * 3600) -> DataFrame:
+def counter_rate(samples: DataFrame, window_sec: int, bucket_sec: int = 600) -> DataFrame:
     """Growth per second over the trailing window, with a flag for a counter that stands still."""
     grown = counter_increase(samples, window_sec, bucket_sec)
     return grown.select(
@@ -292,9 +390,9 @@ def increased(samples: DataFrame, window_sec: int = fixed.INCREASE_WINDOW_SEC) -
 
 def missing_series(samples: DataFrame, expected: DataFrame, as_of: Column, hold_sec: int) -> DataFrame:
     """Expected (metric, series) pairs without a sample in the last hold_sec before `as_of`."""
-    age = timing.seconds_between(C("ts"), as_of)
+    oldest = F.timestamp_micros(F.unix_micros(as_of) - F.lit(hold_sec * _MICROS).cast("bigint"))
     seen = (
-        samples.filter((age >= 0) & (age < hold_sec))
+        samples.filter((C("ts") > oldest) & (C("ts") <= as_of))  # plain comparisons, which reach the scan
         .select("metric", series_name(C("labels")).alias("series"))
         .distinct()
     )

@@ -4,8 +4,7 @@ The pattern throughout: a merge source is small next to its target, so the targe
 source's keys. Keys are broadcast when measured to be few and short; otherwise Spark joins by shuffle, where
 adaptive execution splits skewed partitions. Keys must not be NULL: a NULL equals nothing, so it never matches.
 
-A source is evaluated more than once (to measure it, to find its matches, to take its rows): hand in a stored or
-persisted one when computing it is expensive.
+A source is reduced and checkpointed once: it is measured, its matches are found and its rows are taken from there.
 """
 
 from __future__ import annotations
@@ -17,14 +16,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.session import ensure_checkpoint_dir
+
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def newest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the greatest by `order_by`, ties by the remaining columns.
+def newest_per_key(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), oldest: bool = False
+) -> DataFrame:
+    """One row per key: the greatest by `order_by` (the least with `oldest`), ties by the remaining columns.
 
-    An aggregate rather than a window, so the many copies of a hot key collapse before the shuffle.
+    An aggregate rather than a window, so the many copies of a hot key collapse before the shuffle. Comparing
+    structs that hold text makes it a sort aggregate; it still sums up on the map side.
     """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
@@ -32,11 +36,17 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     ranked = [*order_by, *[c for c in rest if c not in order_by]]
     return (
         df.groupBy(*keys)
-        .agg(F.max(F.struct(*ranked)).alias("_row"))
+        .agg((F.min if oldest else F.max)(F.struct(*ranked)).alias("_row"))
         .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
     )
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df computed once, into the checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def size_columns(df: DataFrame) -> list[Column]:
     """Aggregates for the row count and an upper estimate of the bytes a broadcast of df would ship."""
     def width(field: T.StructField) -> Column:
@@ -75,7 +85,7 @@ def unseen(source: DataFrame, target: DataFrame, keys: Sequence[str], probe: Dat
 
 def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """MERGE with all columns updated: source rows win, the other target rows stay."""
-    newest = newest_per_key(source, keys, order_by)
+    newest = settled(newest_per_key(source, keys, order_by))
     kept = target.join(broadcast_if_small(newest.select(*keys)), list(keys), "left_anti")
     return kept.unionByName(newest.select(*target.columns))
 
@@ -84,7 +94,7 @@ def insert_only_rows(
     target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:
     """MERGE without update: target rows win, unknown keys are added."""
-    fresh = unseen(newest_per_key(source, keys, order_by), target, keys)
+    fresh = unseen(settled(newest_per_key(source, keys, order_by)), target, keys)
     return target.unionByName(fresh.select(*target.columns))
 
 
@@ -96,7 +106,7 @@ def update_some_rows(
     order_by: Sequence[str] = (),
 ) -> DataFrame:
     """MERGE where a match changes only the `update` columns and everything else keeps its stored value."""
-    newest = newest_per_key(source, keys, order_by)
+    newest = settled(newest_per_key(source, keys, order_by))
     changes, probe = newest.select(*keys, *update), newest.select(*keys)
     seen = changes.agg(*size_columns(changes)).first()
     if small_enough(seen["rows"], seen["bytes"]):

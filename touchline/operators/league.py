@@ -14,7 +14,6 @@ from touchline.operators.enrich import enrich, stage_matches
 from touchline.operators.numbering import number_rows
 
 C = F.col
-MAX_LISTED_SEASONS = 10_000
 
 
 def _flag(condition: Column) -> Column:
@@ -86,16 +85,13 @@ def new_seasons_only(matches: DataFrame, built: DataFrame) -> DataFrame:
     """Matches of seasons the mart does not hold yet.
 
     A NULL season in the mart excludes nothing; a match without a season is never new, or every run would add it
-    again. The mart's season list is read first. While it is short it becomes a literal filter, which prunes the
-    lake's season directories before any file is opened; a longer list is left to an anti join.
+    again. The mart's seasons are its partitions, which Spark lists on the driver anyway; as a literal filter they
+    prune the lake's season directories before any file is opened.
     """
     seasons = built.select("season").where(C("season").isNotNull()).distinct()
-    listed = [row.season for row in seasons.limit(MAX_LISTED_SEASONS + 1).collect()]
-    if not listed:
-        return matches
-    if len(listed) <= MAX_LISTED_SEASONS:
-        return matches.filter(~C("season").isin(listed))
-    return matches.filter(C("season").isNotNull()).join(seasons, "season", "left_anti")
+    listed = [row.season for row in seasons.collect()]
+    named = matches.filter(C("season").isNotNull())
+    return named.filter(~C("season").isin(listed)) if listed else named
 
 
 def standings_increment(

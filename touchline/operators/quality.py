@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -160,11 +160,16 @@ def require_suite(df: DataFrame, suite: Sequence[Expectation]) -> None:
 def column_tests(tables: Mapping[str, tuple[DataFrame, Mapping[str, Sequence[str]]]]) -> DataFrame:
     """Declared not_null and unique tests of several tables: table, column, test, failures, passed.
 
-    A uniqueness failure is one repeated value, however many rows carry it.
+    A uniqueness failure is one repeated value, however many rows carry it. A test on an absent column has failed.
     """
     parts = []
     for table, (df, declared) in tables.items():
         present = {c: tests for c, tests in declared.items() if c in df.columns}
+        absent = [(table, c, test) for c, tests in declared.items() if c not in df.columns for test in tests]
+        if absent:  # a declared test without its column has failed, by an unknown number
+            names = "table_name STRING, column_name STRING, test STRING"
+            lost = df.sparkSession.createDataFrame(absent, names)
+            parts.append(lost.select("*", F.lit(None).cast("bigint").alias("failures"), F.lit(False).alias("passed")))
         not_nulls = [c for c, tests in present.items() if "not_null" in tests]
         if not_nulls:
             counts = df.agg(*[F.count_if(C(c).isNull()).alias(c) for c in not_nulls])
@@ -267,17 +272,17 @@ def data_freshness(
 
 
 def run_checks(spark: SparkSession, checks: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
-    """All checks in one result; a check that cannot be analysed becomes a failed row instead of an error."""
-    parts = []
+    """All checks in one result; a check that cannot be analysed or fails while it runs becomes a failed row.
+
+    Each check is run here, on its own; its result is one row.
+    """
+    rows = []
     for name, build in checks.items():
         try:
-            parts.append(build().select("check_name", "passed", "details"))
-        except AnalysisException as error:
-            message = fixed.FAILED_DETAILS % str(error).splitlines()[0]
-            parts.append(
-                spark.createDataFrame([(name, False, message)], "check_name STRING, passed BOOLEAN, details STRING")
-            )
-    return _union(parts)
+            rows += [tuple(r) for r in build().select("check_name", "passed", "details").collect()]
+        except PySparkException as error:
+            rows.append((name, False, fixed.FAILED_DETAILS % str(error).splitlines()[0]))
+    return spark.createDataFrame(rows, "check_name STRING, passed BOOLEAN, details STRING")
 
 
 def check_summary(results: DataFrame) -> DataFrame:

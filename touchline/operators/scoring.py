@@ -18,10 +18,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline import fixed
+from touchline.functions.match import outcome_label
 from touchline.operators.enrich import complete_for_scoring
-from touchline.operators.keyed import unseen
+from touchline.operators.keyed import newest_per_key
 from touchline.operators.league import distinct_teams
-from touchline.sinks.merge import merge_table
+from touchline.session import ensure_checkpoint_dir
+from touchline.sinks.merge import append_counted
 from touchline.sources.lake import read_table_or_none
 
 C = F.col
@@ -108,6 +110,13 @@ def train_accuracy(scored: DataFrame) -> DataFrame:
     return scored.agg(F.avg((C("outcome") == C("label")).cast("double")).alias("accuracy"))
 
 
+def prediction_accuracy(predictions: DataFrame, matches: DataFrame) -> DataFrame:
+    """One row: the share of stored predictions whose outcome equals their match's label."""
+    label = outcome_label(C("home_goals"), C("away_goals")).alias("label")
+    labelled = complete_for_scoring(matches).select("match_id", label)
+    return train_accuracy(predictions.select("match_id", "outcome").join(labelled, "match_id"))
+
+
 @dataclass(frozen=True)
 class Trained:
     run_id: str
@@ -138,6 +147,7 @@ def fit(
         trees = [RandomForestClassifier(labelCol="label", numTrees=rounds, maxDepth=depth, seed=seed)]
     else:
         raise ValueError(f"unknown algorithm {algorithm!r}")
+    ensure_checkpoint_dir(matches.sparkSession)  # boosting cuts its lineage there every few rounds
     prepared = front.transform(complete).select("features", "label").persist()
     try:
         return PipelineModel([*front.stages, *Pipeline(stages=trees).fit(prepared).stages])
@@ -185,14 +195,10 @@ def predict(matches: DataFrame, predictions_path: str, model: PipelineModel, run
     done = read_table_or_none(spark, predictions_path, schema.PREDICTIONS)
     if done is not None:
         todo = unscored(todo, done)
-    if todo.isEmpty():
-        return 0
     rows = (
-        score(model, todo)
+        score(model, newest_per_key(todo, ["match_id"]))
         .withColumn("model_run_id", F.lit(run_id))
         .withColumn("predicted_at", F.current_timestamp())
         .select(*schema.PREDICTIONS.names)
     )
-    return merge_table(
-        rows, predictions_path, schema.PREDICTIONS, ["match_id"], mode="insert_only", partition_by=None
-    )
+    return append_counted(rows, predictions_path, ["match_id"], None)

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from touchline import fixed, schema
 from touchline.operators.enrich import enrich
 from touchline.operators.league import new_seasons_only, standings_mart, team_summary
 from touchline.operators.quality import match_constraints, require_valid_rows, split_valid
 from touchline.sinks.jdbc import write_jdbc
-from touchline.sinks.lake import write_mart, write_matches, write_table
+from touchline.sinks.lake import remove_paths, write_mart, write_matches, write_table
 from touchline.sources.csv import load_matches
 from touchline.sources.jdbc import JdbcTarget
 from touchline.sources.lake import read_lake, read_table_or_none
@@ -35,13 +36,24 @@ def ingest_with_quarantine(spark: SparkSession, csv_path: str, lake: str, quaran
 
 
 def refresh_standings(spark: SparkSession, lake: str, mart: str, refresh_seasons: Sequence[str] = ()) -> None:
-    """Bring the stored mart up to date: only seasons it lacks (and those named) are read and written."""
+    """Bring the stored mart up to date: only seasons it lacks (and those named) are read and written.
+
+    Matches without a season never count, and a named season that has lost all its matches leaves the mart.
+    """
     matches = read_lake(spark, lake, columns=schema.MATCHES.names)
     built = read_table_or_none(spark, mart, schema.STANDINGS)
-    if built is not None:
-        kept = built.filter(~built.season.isin(list(refresh_seasons))) if refresh_seasons else built
-        matches = new_seasons_only(matches, kept)
-    write_table(standings_mart(matches), mart)
+    if built is None:
+        write_table(standings_mart(matches.filter("season is not null")), mart)
+        return
+    named = built.filter(built.season.isin(list(refresh_seasons)))
+    kept = built.filter(~built.season.isin(list(refresh_seasons))) if refresh_seasons else built
+    new = standings_mart(new_seasons_only(matches, kept))
+    emptied = []
+    if refresh_seasons:
+        old = named.select("season", F.col("_metadata.file_path").alias("file")).distinct()
+        emptied = [r.file for r in old.join(new.select("season").distinct(), "season", "left_anti").collect()]
+    write_table(new, mart)
+    remove_paths(spark, emptied, encoded=True)
 
 
 def load_staging(spark: SparkSession, lake: str, target: JdbcTarget, table: str) -> None:

@@ -85,6 +85,13 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match_base(spark, sf_dir).select(*schema.MATCHES.names)
 
 
+def matches_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All matches, some without home goals or season: what the outcome model has to leave out."""
+    k = C("k")
+    gaps = {"home_goals": F.when(k % 31 != 0, C("home_goals")), "season": F.when(k % 37 != 0, C("season"))}
+    return match_base(spark, sf_dir).withColumns(gaps).select(*schema.MATCHES.names, "status")
+
+
 def matches_with(spark: SparkSession, sf_dir: str, *statuses: str) -> DataFrame:
     return match_base(spark, sf_dir).filter(C("status").isin(*statuses)).select(*schema.MATCHES.names)
 
@@ -112,25 +119,28 @@ def merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Corrections of P matches, sent twice with the second one valid, and the new O matches; `seq` orders them."""
+    """Corrections of P matches, sent twice, and the new O matches; `seq` orders them. The later, valid correction is
+    the smaller one, so that no other order gives it."""
     base = match_base(spark, sf_dir).filter(C("status").isin("P", "O"))
     sent = base.withColumn("seq", F.explode(F.array(F.lit(1), F.lit(2))))
-    corrected = F.when(C("status") == "P", C("home_goals") + C("seq")).otherwise(C("home_goals"))
+    corrected = F.when(C("status") == "P", C("home_goals") + 3 - C("seq")).otherwise(C("home_goals"))
     return sent.withColumn("home_goals", corrected).select(*schema.MATCHES.names, "seq")
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every match as a (key, value, timestamp) message; P matches are sent twice, and some messages are broken."""
-    base = match_base(spark, sf_dir)
+    """Every match as a (key, value, timestamp) message; P matches are sent twice, the second time with a goal less,
+    and some messages are broken."""
     k = C("k")
-    home_goals = F.when(k % 29 == 0, F.lit("n/a")).otherwise(_text(C("home_goals")))
+    times = F.when(C("status") == "P", F.array(F.lit(0), F.lit(3600))).otherwise(F.array(F.lit(0)))
+    sent = match_base(spark, sf_dir).withColumn("delay", F.explode(times))
+    early = ((C("status") == "P") & (C("delay") == 0)).cast("int")
+    home_goals = F.when(k % 29 == 0, F.lit("n/a")).otherwise(_text(C("home_goals") + early))
     body = F.struct(
         "match_id", "season", "home_team", "away_team",
         home_goals.alias("home_goals"), _text(C("away_goals")).alias("away_goals"),
     )
     value = F.when(k % 23 == 0, F.lit("NOT JSON {")).otherwise(F.to_json(body))
-    times = F.when(C("status") == "P", F.array(F.lit(0), F.lit(3600))).otherwise(F.array(F.lit(0)))
-    return base.withColumn("delay", F.explode(times)).select(
+    return sent.select(
         F.concat_ws(":", "season", "match_id").cast("binary").alias("key"),
         value.cast("binary").alias("value"),
         F.timestamp_seconds(k + C("delay")).alias("timestamp"),

@@ -85,7 +85,7 @@ _BROKEN = (
 _MERGE = f"""{_MATCHES},
 old AS (SELECT *, {_DERIVED} FROM keyed WHERE status IN ('F', 'P')),
 sent AS (
-  SELECT * REPLACE (CASE WHEN status = 'P' THEN home_goals + 2 ELSE home_goals END AS home_goals)
+  SELECT * REPLACE (CASE WHEN status = 'P' THEN home_goals + 1 ELSE home_goals END AS home_goals)
   FROM keyed WHERE status IN ('P', 'O')),
 new AS (SELECT *, {_DERIVED} FROM sent)"""
 
@@ -136,6 +136,38 @@ windowed AS (
            AS increase
   FROM grown)"""
 
+
+
+def _growth(seconds: int, name: str, first: bool = True) -> str:
+    """Growth over the trailing window, summed anew for each sample over the pairs inside it."""
+    steps = f"""{_SAMPLES},
+steps AS (SELECT *, lag(value) OVER (PARTITION BY metric, series ORDER BY ts) AS previous FROM samples),
+grown AS (
+  SELECT metric, series, ts,
+         sum(CASE WHEN previous IS NULL THEN 0 WHEN value < previous THEN value ELSE value - previous END)
+           OVER (PARTITION BY metric, series ORDER BY ts) AS total
+  FROM steps),"""
+    return f"""{steps if first else ""}
+{name} AS (
+  SELECT metric, series, ts, round(total - first_value(total) OVER (
+           PARTITION BY metric, series ORDER BY ts RANGE BETWEEN INTERVAL {seconds} SECOND PRECEDING AND CURRENT ROW), 9)
+           AS increase
+  FROM grown)"""
+
+
+_STRETCHES = """
+islands AS (
+  SELECT *, sum((NOT breach)::INT) OVER (PARTITION BY alert, series ORDER BY ts) AS island FROM states),
+stretches AS (
+  SELECT alert, severity, hold, series, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS samples, max(value) AS peak
+  FROM islands WHERE breach GROUP BY alert, severity, hold, series, island)"""
+
+_HELD = """
+SELECT alert, severity, series, strftime(start_ts, '%Y-%m-%d %H:%M:%S.%f') AS start_ts,
+       strftime(end_ts, '%Y-%m-%d %H:%M:%S.%f') AS end_ts, (epoch_us(end_ts) - epoch_us(start_ts)) / 1000000.0 AS held_sec,
+       samples, round(peak, 6) AS peak
+FROM stretches WHERE (epoch_us(end_ts) - epoch_us(start_ts)) / 1000000.0 >= hold"""
+
 _ALERTS = f"""{_SAMPLES},
 clauses AS (
   SELECT 'SlowClicks' AS alert, 21600 AS hold, series, ts, value, value > 40 AS breach
@@ -224,6 +256,10 @@ def _column_tests() -> str:
     )
     parts = [row("matches", c, "not_null", nulls("defective", c)) for c in source]
     parts.append(row("matches", "match_id", "unique", repeated))
+    parts.append(
+        "SELECT 'matches' AS table_name, 'matchday' AS column_name, 'not_null' AS test, NULL::BIGINT AS failures, "
+        "false AS passed"
+    )
     parts += [row("standings", c, "not_null", nulls("mart", c)) for c in _MART_COLUMNS]
     defective = _DEFECTIVE[len(_MATCHES):]
     return _sql(_MART + defective, "\nUNION ALL ".join(parts))
@@ -246,7 +282,9 @@ SELECT 'data_freshness', age <= 90000,
        printf('table=%s, latest_ts=%s, age_seconds=%d, threshold_seconds=%d', 'events',
               strftime(latest, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00', CAST(round(age) AS BIGINT), 90000)
 FROM (SELECT max(ts) AS latest,
-             (epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(max(ts))) / 1000000.0 AS age FROM events)"""
+             (epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(max(ts))) / 1000000.0 AS age FROM events)
+UNION ALL
+SELECT 'broken_check', false, 'Query failed:' FROM orders GROUP BY ALL"""
 
 _REASONS = """concat_ws(',', CASE WHEN match_id IS NULL THEN 'match_id_missing' END,
   CASE WHEN home_goals < 0 THEN 'home_goals_negative' END, CASE WHEN home_team = away_team THEN 'same_team' END,
@@ -287,8 +325,8 @@ ORACLE_SQL: dict[str, str] = {
         "CAST(sum(CAST(possession AS DECIMAL(18, 6))) AS DOUBLE) / count(possession), 1) ELSE 0.0 END "
         "AS avg_possession FROM sides GROUP BY team)",
     ),
-    "team_stats_one": _sql(_SIDES, f"SELECT team, {_SUMS} FROM sides WHERE team = 'FRANCE' GROUP BY team"),
-    "team_history": _sql(_RANKED, "SELECT * FROM ranked WHERE team = 'FRANCE'"),
+    "team_stats_one": _sql(_SIDES, f"SELECT team, {_SUMS} FROM sides WHERE team = 'NATION_7' GROUP BY team"),
+    "team_history": _sql(_RANKED, "SELECT * FROM ranked WHERE team = 'NATION_7'"),
     "season_table_one": _sql(_RANKED, "SELECT * FROM ranked WHERE season = '1997-98'"),
     "referee_summary": _sql(
         _ENRICHED,
@@ -371,36 +409,46 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "parse_messages": _sql(
         _MATCHES,
-        "SELECT match_id, season, home_team, away_team, CASE WHEN k % 29 = 0 THEN NULL ELSE home_goals END AS home_goals, "
-        "away_goals, strftime(make_timestamp((k + delay) * 1000000), '%Y-%m-%d %H:%M:%S.%f') AS kafka_timestamp "
+        "SELECT match_id, season, home_team, away_team, CASE WHEN k % 29 <> 0 THEN home_goals + (status = 'P' AND delay = 0)::INT END "
+        "AS home_goals, away_goals, strftime(make_timestamp((k + delay) * 1000000), '%Y-%m-%d %H:%M:%S.%f') AS kafka_timestamp "
         "FROM (SELECT *, 0 AS delay FROM keyed UNION ALL SELECT *, 3600 FROM keyed WHERE status = 'P') "
         "WHERE k % 23 <> 0",
     ),
     "stream_ingest_once": _sql(
         _MATCHES,
-        "SELECT match_id, season, home_team, away_team, CASE WHEN k % 29 = 0 THEN NULL ELSE home_goals END AS home_goals, "
-        "away_goals FROM keyed WHERE k % 23 <> 0",
+        "SELECT match_id, season, home_team, away_team, CASE WHEN k % 29 <> 0 THEN home_goals + (status = 'P')::INT END "
+        "AS home_goals, away_goals, strftime(make_timestamp(k * 1000000), '%Y-%m-%d %H:%M:%S.%f') AS kafka_timestamp "
+        "FROM keyed WHERE k % 23 <> 0",
+    ),
+    "staging_upsert": _sql(
+        _MATCHES,
+        "SELECT match_id, season, home_team, away_team, CASE WHEN k % 29 <> 0 THEN home_goals END AS home_goals, away_goals, "
+        "strftime(make_timestamp((k + CASE WHEN status = 'P' THEN 3600 ELSE 0 END) * 1000000), '%Y-%m-%d %H:%M:%S.%f') "
+        "AS kafka_timestamp FROM keyed WHERE k % 23 <> 0",
     ),
     "unscored_matches": _sql(_MATCHES, "SELECT * EXCLUDE (k, status) FROM keyed WHERE status <> 'F'"),
     "features": _sql(
         f"""{_MATCHES},
+complete AS (SELECT * FROM keyed WHERE k % 31 <> 0 AND k % 37 <> 0),
 teams AS (
   SELECT team, CAST(row_number() OVER (ORDER BY team) - 1 AS DOUBLE) AS code
-  FROM (SELECT home_team AS team FROM matches UNION SELECT away_team FROM matches)),
+  FROM (SELECT home_team AS team FROM complete UNION SELECT away_team FROM complete)),
 seasons AS (
   SELECT season, CAST(row_number() OVER (ORDER BY season) - 1 AS DOUBLE) AS code
-  FROM (SELECT DISTINCT season FROM matches))""",
+  FROM (SELECT DISTINCT season FROM complete))""",
         "SELECT match_id, h.code AS home_team_enc, a.code AS away_team_enc, s.code AS season_enc, "
         "CAST(home_goals - away_goals AS DOUBLE) AS goal_diff_hist, "
         "CAST(CASE WHEN home_goals > away_goals THEN 2 WHEN home_goals = away_goals THEN 1 ELSE 0 END AS DOUBLE) AS label "
-        "FROM matches m JOIN teams h ON m.home_team = h.team JOIN teams a ON m.away_team = a.team "
+        "FROM complete m JOIN teams h ON m.home_team = h.team JOIN teams a ON m.away_team = a.team "
         "JOIN seasons s ON m.season = s.season",
     ),
     "train_predict": _sql(
         _MATCHES,
         "SELECT match_id, CAST(CASE WHEN home_goals > away_goals THEN 2 WHEN home_goals = away_goals THEN 1 ELSE 0 END "
-        "AS BIGINT) AS outcome, CAST(1.0 AS DOUBLE) AS probability_sum FROM matches",
+        "AS BIGINT) AS outcome, CAST(1.0 AS DOUBLE) AS probability_sum FROM keyed WHERE k % 31 <> 0 AND k % 37 <> 0",
     ),
+    # The goal difference is a feature and decides the label, so every training row is told apart.
+    "train_accuracy": _sql(_MATCHES, "SELECT CAST(1.0 AS DOUBLE) AS accuracy FROM matches GROUP BY ALL"),
     "run_states": _sql(
         _RUNS,
         "SELECT run_id, stage AS job, strftime(start_ts, '%Y-%m-%d %H:%M:%S.%f') AS start_ts, "
@@ -420,6 +468,23 @@ seasons AS (
         "(epoch_us(end_ts) - epoch_us(start_ts)) / 1000000.0 AS held_sec, samples, peak FROM stretches "
         "WHERE (epoch_us(end_ts) - epoch_us(start_ts)) / 1000000.0 >= hold",
     ),
+    "increase_alerts": _sql(
+        f"""{_growth(86400, "day")}, {_growth(21600, "quarter", False)},
+states AS (
+  SELECT 'ClicksGrew' AS alert, 'warning' AS severity, 3600 AS hold, series, ts, increase > 60 AS breach, increase AS value
+  FROM day WHERE metric = 'click'
+  UNION ALL
+  SELECT 'UserTwoErrors', 'critical', 0, series, ts, increase > 0, increase
+  FROM quarter WHERE metric = 'error' AND series = 'user=2'), {_STRETCHES}""",
+        _HELD,
+    ),
+    "stalled_alerts": _sql(
+        f"""{_growth(1800, "half")},
+states AS (
+  SELECT 'ViewsStalled' AS alert, 'warning' AS severity, 0 AS hold, series, ts, increase = 0 AS breach, increase / 1800 AS value
+  FROM half WHERE metric = 'view'), {_STRETCHES}""",
+        _HELD,
+    ),
     "counter_increase": _sql(
         _GROWTH,
         "SELECT metric, series, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, increase FROM windowed",
@@ -433,12 +498,12 @@ seasons AS (
     "missing_series": _sql(
         _SAMPLES,
         "SELECT metric, series FROM samples GROUP BY metric, series "
-        "HAVING count(*) FILTER (ts > TIMESTAMP '2024-01-29 00:00:00' AND ts <= TIMESTAMP '2024-02-01 00:00:00') = 0",
+        "HAVING count(*) FILTER (ts > TIMESTAMP '2024-01-30 23:33:20' AND ts <= TIMESTAMP '2024-02-01 00:00:00') = 0",
     ),
     "gauge_age": _sql(
         _SAMPLES,
         "SELECT metric, series, CAST(1706745600 AS DOUBLE) - floor(epoch_us(max(ts)) / 1000000.0) AS age_sec "
-        "FROM samples GROUP BY metric, series HAVING 1706745600 - floor(epoch_us(max(ts)) / 1000000.0) > 216000",
+        "FROM samples GROUP BY metric, series HAVING 1706745600 - floor(epoch_us(max(ts)) / 1000000.0) > 88000",
     ),
     "metric_rollup": _sql(
         _SAMPLES,

@@ -15,7 +15,7 @@ from touchline.plans import derived
 from touchline.session import scratch_path
 from touchline.sinks.kafka import to_messages
 from touchline.sinks.lake import write_matches, write_table
-from touchline.sinks.merge import merge_table
+from touchline.sinks.merge import merge_table, stage_messages
 from touchline.sources.csv import load_matches
 from touchline.sources.lake import read_lake
 from touchline.streaming.ingest import drain, parse_messages
@@ -23,15 +23,21 @@ from touchline.streaming.ingest import drain, parse_messages
 Query = Callable[[SparkSession, str], DataFrame]
 C = F.col
 
-ONE_TEAM, ONE_SEASON = "FRANCE", "1997-98"
+ONE_TEAM, ONE_SEASON = "NATION_7", "1997-98"
 BUILT_BEFORE = "1998"
 ALERT_RULES = [
     health.Rule("SlowClicks", "click", ">", 40.0, 6 * 3600),
     health.Rule("ErrorsOrViews", "error", ">", 30.0, 3 * 3600),
     health.Rule("ErrorsOrViews", "view", "<", 5.0, 3 * 3600, absolute=True),
-    health.Rule("UserThreeSignups", "signup", ">=", 20.0, 0, label="user", label_value="3"),
+    health.Rule("UserThreeSignups", "signup", ">=", 20.0, 0, labels={"user": "3"}),
 ]
+GROWTH_RULES = [
+    health.Rule("ClicksGrew", "click", ">", 60.0, 3600, window_sec=24 * 3600),
+    health.Rule("UserTwoErrors", "error", ">", 0.0, 0, severity="critical", labels={"user": "2"}, window_sec=6 * 3600),
+]
+STALL_RULES = [health.Rule("ViewsStalled", "view", "==", 0.0, 0, window_sec=1800, per_second=True)]
 DAY = 24 * 3600
+SILENT_SEC = 88_000  # before the fixed instant; a part of the series has sent nothing since
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -102,7 +108,11 @@ def quality_run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_orderkey", "o_orderkey",
         ),
         "data_freshness": lambda: quality.data_freshness(tables["events"], "events", "ts", derived.as_of()),
-    })
+        "broken_check": lambda: tables["orders"].agg(
+            F.lit("broken_check").alias("check_name"), F.assert_true(F.count("*") < 0).isNull().alias("passed"),
+            F.lit("").alias("details"),
+        ),
+    }).withColumn("details", F.when(C("check_name") == "broken_check", F.substring("details", 1, 13)).otherwise(C("details")))
 
 
 def valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,11 +129,22 @@ def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_multi_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Matches out to CSV files and back in under the explicit schema."""
+    """Matches out to one CSV file per season and back in under the explicit schema, the season from the file's name."""
     folder = scratch_path(spark, "csv")
     raw = derived.matches(spark, sf_dir).withColumnRenamed("match_date", "date").select(*schema.RAW_CSV.names)
-    raw.write.option("header", True).csv(folder)
-    return portable(load_matches(spark, folder))
+    unnamed = raw.withColumn("_file", C("season")).withColumn("season", F.lit("as the file says"))
+    unnamed.repartition("_file").write.partitionBy("_file").option("header", True).csv(folder)
+    _name_after_folders(spark, folder, "_file=")
+    return portable(load_matches(spark, f"{folder}/*.csv", season_from_file=True))
+
+
+def _name_after_folders(spark: SparkSession, folder: str, prefix: str) -> None:
+    """Each partition folder's single file becomes a file of the folder's name."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.globStatus(path(f"{folder}/{prefix}*/part-*")):
+        name = status.getPath().getParent().getName().removeprefix(prefix)
+        files.rename(status.getPath(), path(f"{folder}/{name}.csv"))
 
 
 def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +195,16 @@ def stream_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     for attempt in ("first", "replay"):
         stream = spark.readStream.schema(layout).parquet(f"{base}/messages")
         drain(stream, f"{base}/matches", f"{base}/checkpoint-{attempt}")
-    return read_lake(spark, f"{base}/matches", schema.STREAMED).drop("kafka_timestamp")
+    return portable(read_lake(spark, f"{base}/matches", schema.STREAMED))
+
+
+def staging_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drained messages into the staging table, twice: the last message of a match wins."""
+    path = scratch_path(spark, "staging")
+    messages = parse_messages(derived.envelopes(spark, sf_dir))
+    for _ in range(2):
+        stage_messages(messages, path, schema.STREAMED)
+    return portable(read_lake(spark, path, schema.STREAMED))
 
 
 # The outcome model.
@@ -187,27 +217,36 @@ def unscored_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.build_features(derived.matches(spark, sf_dir))
+    return scoring.build_features(derived.matches_with_gaps(spark, sf_dir))
+
+
+_registries: dict[tuple[str, str], str] = {}
+
+
+def trained_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train with the default settings, register, reload, score in two steps. One session trains once per input."""
+    name = (spark.sparkContext.applicationId, sf_dir)
+    if name not in _registries:
+        base = scratch_path(spark, "model")
+        matches = derived.matches_with_gaps(spark, sf_dir)
+        scoring.train(matches, f"{base}/registry")
+        model, run_id = scoring.latest_model(spark, f"{base}/registry")
+        for part in (matches.filter("status = 'F'"), matches):
+            scoring.predict(part, f"{base}/predictions", model, run_id)
+        _registries[name] = base
+    return read_lake(spark, f"{_registries[name]}/predictions", schema.PREDICTIONS)
 
 
 def train_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train, register, reload, score in two steps; the outcome and the probabilities' sum are checked."""
-    base = scratch_path(spark, "model")
-    matches = derived.matches(spark, sf_dir)
-    scoring.train(matches, f"{base}/registry", rounds=5)
-    model, run_id = scoring.latest_model(spark, f"{base}/registry")
-    for part in (derived.matches_with(spark, sf_dir, "F"), matches):
-        scoring.predict(part, f"{base}/predictions", model, run_id)
+    """The stored predictions; the outcome and the probabilities' sum are checked."""
     total = C("proba_away") + C("proba_draw") + C("proba_home")
-    stored = read_lake(spark, f"{base}/predictions", schema.PREDICTIONS)
+    stored = trained_predictions(spark, sf_dir)
     return stored.select("match_id", C("outcome").cast("bigint"), F.round(total, 6).alias("probability_sum"))
 
 
 def train_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A random forest's accuracy on its own training rows."""
-    matches = derived.matches(spark, sf_dir)
-    model = scoring.fit(matches, algorithm="forest", rounds=20)
-    return scoring.train_accuracy(scoring.score(model, matches))
+    """The stored predictions' accuracy on the rows they were trained on."""
+    return scoring.prediction_accuracy(trained_predictions(spark, sf_dir), derived.matches_with_gaps(spark, sf_dir))
 
 
 # Pipeline health.
@@ -233,7 +272,7 @@ def rounded(df: DataFrame, column: str, digits: int = 6) -> DataFrame:
 def missing_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = derived.metric_samples(spark, sf_dir)
     expected = samples.select("metric", health.series_name(C("labels")).alias("series"))
-    return health.missing_series(samples, expected, derived.as_of(), 3 * DAY)
+    return health.missing_series(samples, expected, derived.as_of(), SILENT_SEC)
 
 
 QUERIES: dict[str, Query] = {
@@ -278,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "message_payload": message_payload,
     "parse_messages": parsed_messages,
     "stream_ingest_once": stream_ingest_once,
+    "staging_upsert": staging_upsert,
     "unscored_matches": unscored_matches,
     "features": features,
     "train_predict": train_predict,
@@ -289,11 +329,13 @@ QUERIES: dict[str, Query] = {
     ),
     "breach_counts": on_runs(lambda runs: health.breach_counts(stage_breaches(runs))),
     "sustained_alerts": on_samples(lambda s: health.sustained_alerts(s, ALERT_RULES)),
+    "increase_alerts": on_samples(lambda s: rounded(health.sustained_alerts(s, GROWTH_RULES), "peak")),
+    "stalled_alerts": on_samples(lambda s: rounded(health.sustained_alerts(s, STALL_RULES), "peak")),
     "counter_increase": on_samples(lambda s: rounded(health.counter_increase(s, DAY), "increase")),
     "counter_rate": on_samples(lambda s: rounded(health.counter_rate(s, DAY), "per_sec", 9)),
     "missing_series": missing_series,
     "gauge_age": lambda spark, sf_dir: health.gauge_age(
-        derived.gauge_samples(spark, sf_dir), derived.as_of(), 2.5 * DAY
+        derived.gauge_samples(spark, sf_dir), derived.as_of(), SILENT_SEC
     ),
     "metric_rollup": on_samples(lambda s: rounded(health.metric_rollup(s), "value")),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline import schema
@@ -43,6 +43,14 @@ def write_table(
     writer.save(path)
 
 
+def remove_paths(spark: SparkSession, paths: Sequence[str], encoded: bool = False) -> None:
+    """Delete files or folders of a table through its file system; no job is run. `encoded`: as in _metadata.file_path."""
+    java = spark.sparkContext._jvm
+    for path in paths:
+        place = java.org.apache.hadoop.fs.Path(java.java.net.URI(path) if encoded else path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def write_matches(enriched: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The enriched lake, by season, sorted by home team so that row groups can be skipped."""
     write_table(enriched.select(*schema.LAKE.names), path, mode, sort_by=["home_team"])

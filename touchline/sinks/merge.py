@@ -1,12 +1,13 @@
 """MERGE into a stored table by key.
 
 Parquet tables have no row-level MERGE, so it is spelled out with joins: an insert-only merge appends what is new,
-an upsert rewrites the touched partitions. Both are safe to repeat. For catalogs with a MERGE of their own
+an upsert rewrites the partitions in which a row really changes. Both are safe to repeat. For catalogs with a MERGE of their own
 (Delta, Iceberg) `merge_into_catalog_table` hands the work to it.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -14,16 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.operators.keyed import newest_per_key, size_columns, small_enough, unseen, update_some_rows
-from touchline.sinks.lake import write_table
+from touchline.operators.keyed import (
+    broadcast_if_small, newest_per_key, size_columns, small_enough, unseen, update_some_rows,
+)
+from touchline.sinks.lake import remove_paths, write_table
 from touchline.sources.lake import read_table_or_none
 
-MAX_LISTED_PARTITIONS = 10_000
-
-# Characters that Spark writes as %XX in partition directory names.
-_ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(1, 32)}
-
-
 def merge_table(
     source: DataFrame,
     path: str,
@@ -33,16 +30,21 @@ def merge_table(
     order_by: Sequence[str] = (),
     partition_by: str | None = "season",
     update: Sequence[str] | None = None,
+    oldest: bool = False,
+    guard: Sequence[str] = (),
 ) -> int:
-    """Merge source rows into the table at `path`, creating it if absent; returns the number of rows written in.
+    """Merge source rows into the table at `path`, creating it if absent; returns the number of rows added or changed.
 
     `upsert` lets source rows win, `insert_only` lets stored rows win. With `update`, an upsert changes only those
     columns of a stored row and the others keep their stored values. Repeated keys in the source are reduced to the
-    newest by `order_by` first.
+    newest (with `oldest`, the oldest) by `order_by` first; those columns need not be stored. A stored row that is
+    greater by the `guard` columns than the source's stays as it is. Rows equal to the stored ones are left out, so
+    a repeated upsert writes nothing.
     """
     if mode not in ("upsert", "insert_only"):
         raise ValueError(f"unknown merge mode {mode!r}")
-    newest = newest_per_key(source.select(*layout.names), keys, order_by).persist()
+    ranked = source.select(*layout.names, *[c for c in order_by if c not in layout.names])
+    newest = newest_per_key(ranked, keys, order_by, oldest).select(*layout.names).persist()
     try:
         probe = newest.select(*keys)
         lead = F.col(keys[0])
@@ -65,19 +67,43 @@ def merge_table(
         # sorted by key, so these are few when keys grow with time.
         reachable = target.filter(lead.between(seen["low"], seen["high"]))
         if mode == "insert_only":
-            return _append_counted(unseen(newest, reachable, keys, probe), path, keys, partition_by)
-        incoming = newest
-        if update is not None:
-            held = reachable.join(probe, list(keys), "left_semi").select(*layout.names)
-            incoming = update_some_rows(held, newest, keys, update)
-        touched = _touched_partitions(incoming, reachable, probe, keys, partition_by) if partition_by else None
-        _rewrite(incoming, probe, target, touched, path, layout, keys, partition_by)
-        return rows
+            return append_counted(unseen(newest, reachable, keys, probe), path, keys, partition_by)
+        held = reachable.join(probe, list(keys), "left_semi").select(*layout.names).persist()
+        try:
+            return _upsert(newest, held, target, path, layout, keys, partition_by, update, guard)
+        finally:
+            held.unpersist()
     finally:
         newest.unpersist()
 
 
-def _append_counted(fresh: DataFrame, path: str, keys: Sequence[str], partition_by: str | None) -> int:
+def _upsert(newest, held, target, path, layout, keys, partition_by, update, guard) -> int:
+    """Write the rows that differ from those held; their partitions are replaced."""
+    incoming = newest if update is None else update_some_rows(held, newest, keys, update)
+    old = held.select(*keys, F.struct(*layout.names).alias("_old"))
+    other = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_old.{c}")) for c in layout.names])
+    if guard:
+        other = other & ~F.coalesce(F.struct(*[F.col(f"_old.{c}") for c in guard]) > F.struct(*guard), F.lit(False))
+    changed = incoming.join(old, list(keys), "left").filter(F.col("_old").isNull() | other)
+    changed = changed.select(*layout.names, F.col(f"_old.{partition_by}" if partition_by else f"_old.{keys[0]}").alias("_from"))
+    changed = changed.persist()
+    try:
+        rows = changed.count()
+        if not rows:
+            return 0
+        touched = None
+        if partition_by:
+            # One value per partition, which Spark's file index keeps on the driver as well.
+            both = F.explode(F.array(partition_by, "_from")).alias(partition_by)
+            known = changed.join(old.select(*keys), list(keys), "left_semi").select(both)
+            touched = [r[0] for r in known.union(changed.select(partition_by)).distinct().collect()]
+        _rewrite(changed.select(*layout.names), target, touched, path, layout, keys, partition_by)
+        return rows
+    finally:
+        changed.unpersist()
+
+
+def append_counted(fresh: DataFrame, path: str, keys: Sequence[str], partition_by: str | None) -> int:
     """Append rows, leaving no files behind when there are none, and count them without a second join."""
     fresh = fresh.persist()
     try:
@@ -89,29 +115,31 @@ def _append_counted(fresh: DataFrame, path: str, keys: Sequence[str], partition_
         fresh.unpersist()
 
 
-def _touched_partitions(incoming: DataFrame, target: DataFrame, probe: DataFrame, keys, column: str) -> list | None:
-    """Partitions with a source row or with a stored row to be replaced; None when too many to list."""
-    holding = target.select(*keys, column).join(probe, list(keys), "left_semi").select(column)
-    touched = holding.union(incoming.select(column)).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
-    return None if len(touched) > MAX_LISTED_PARTITIONS else [row[0] for row in touched]
-
+def _rewrite(changed, target, touched, path, layout, keys, partition_by) -> None:
+    """Replace the touched partitions (None: an unpartitioned table) by their merged rows.
 
-def _rewrite(incoming, probe, target, touched, path, layout, keys, partition_by) -> None:
-    """Replace the touched partitions by their merged rows.
-
-    The merged rows are first written next to the table: the overwrite then never reads what it replaces, and an
-    interrupted overwrite can be repeated from that copy.
+    The merged rows are first written next to the table, under a name of their own: the overwrite then never reads
+    what it replaces, two merges do not meet, and an interrupted overwrite can be repeated from that copy. It goes
+    when the table is complete.
     """
-    spark = incoming.sparkSession
+    spark = changed.sparkSession
     affected = target if touched is None else target.filter(_is_one_of(partition_by, touched))
-    merged = affected.join(probe, list(keys), "left_anti").unionByName(incoming)
+    probe = broadcast_if_small(changed.select(*keys))
+    merged = affected.join(probe, list(keys), "left_anti").unionByName(changed)
 
-    staging = path.rstrip("/") + "__merge"
+    staging = f"{path.rstrip('/')}__merge-{uuid.uuid4().hex}"
     write_table(merged, staging, "overwrite", partition_by=None)
     staged = spark.read.schema(layout).parquet(staging)
-    write_table(staged, path, "overwrite", partition_by, sort_by=keys, replace_all=touched is None)
-    if touched is not None:
-        _empty_left_partitions(staged, touched, path, layout, partition_by)
+    old_files = affected.select(F.col("_metadata.file_path").alias("file"), *([partition_by] if partition_by else []))
+    emptied = []
+    if partition_by:
+        filled = [r[0] for r in staged.select(partition_by).distinct().collect()]
+        gone = [v for v in touched if v not in filled]
+        if gone:  # a partition whose last row moved away gets no new rows, so its files have to go
+            emptied = [r[0] for r in old_files.filter(_is_one_of(partition_by, gone)).select("file").distinct().collect()]
+    write_table(staged, path, "overwrite", partition_by, sort_by=keys)
+    remove_paths(spark, emptied, encoded=True)
+    remove_paths(spark, [staging])
 
 
 def _is_one_of(column: str, values: list):
@@ -120,26 +148,18 @@ def _is_one_of(column: str, values: list):
     return inside | F.col(column).isNull() if len(listed) < len(values) else inside
 
 
-def _empty_left_partitions(staged, touched: list, path, layout, partition_by) -> None:
-    """A partition whose last row moved away gets no new rows, so overwriting would leave the old ones."""
-    filled = {row[0] for row in staged.select(partition_by).distinct().collect()}
-    rest = T.StructType([f for f in layout.fields if f.name != partition_by])
-    for value in set(touched) - filled:
-        nothing = staged.sparkSession.createDataFrame([], rest)
-        nothing.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{partition_by}={_directory_name(value)}")
-
-
-def _directory_name(value) -> str:
-    if value is None or value == "":
-        return "__HIVE_DEFAULT_PARTITION__"
-    return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in str(value))
+def message_order(columns: Sequence[str]) -> list[str]:
+    """The columns that tell a message's place, as far as the rows have them."""
+    return [c for c in ("kafka_timestamp", "kafka_partition", "kafka_offset") if c in columns]
 
 
 def stage_messages(messages: DataFrame, path: str, layout: T.StructType, keys: Sequence[str] = ("match_id",)) -> int:
-    """Upsert drained messages into the staging table, stamped with the time of ingest."""
-    stamped = messages.select(*layout.names).withColumn("ingested_at", F.current_timestamp())
+    """Upsert drained messages into the staging table, stamped with the time of ingest; the last message of a key wins."""
+    order = message_order(messages.columns)
+    extra = [c for c in order if c not in layout.names]
+    stamped = messages.select(*layout.names, *extra).withColumn("ingested_at", F.current_timestamp())
     stored = T.StructType([*layout.fields, T.StructField("ingested_at", T.TimestampType())])
-    return merge_table(stamped, path, stored, keys, order_by=["ingested_at"])
+    return merge_table(stamped, path, stored, keys, order_by=[*order, "ingested_at"])
 
 
 def merge_into_catalog_table(

@@ -56,5 +56,8 @@ def read_csv(
 
 
 def load_matches(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
-    """CSV files as canonical matches; raises when there are none or when they hold no rows."""
-    return require_rows(schema.canonical(read_csv(spark, path, **options)), str(path))
+    """CSV files as canonical matches; raises when there are none (FileNotFoundError) or when they hold no rows."""
+    rows = read_csv(spark, path, **options)
+    if not rows.inputFiles():
+        raise FileNotFoundError(f"CSV not found: {path}")
+    return require_rows(schema.canonical(rows), str(path))

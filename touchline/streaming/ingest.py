@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from touchline import fixed, schema
 from touchline.functions.text import blank_to_null, lenient_int
-from touchline.sinks.merge import merge_table
+from touchline.sinks.merge import merge_table, message_order
 
 _NUMBERS = ("home_goals", "away_goals")
 
@@ -23,16 +23,20 @@ _NUMBERS = ("home_goals", "away_goals")
 def parse_messages(envelope: DataFrame, payload: T.StructType = schema.MESSAGE_PAYLOAD) -> DataFrame:
     """(value, timestamp) -> typed rows with kafka_timestamp; messages without a key or valid JSON are dropped.
 
+    An envelope with a partition and an offset passes them on as kafka_partition and kafka_offset.
+
     Payload values arrive as text: numbers are cast leniently, blanks become NULL. The parsed object goes through a
     generator, which filters are not pushed into: otherwise the JSON would be parsed again for the key filter.
     """
     body = F.from_json(F.col("value").cast("string"), payload)
-    parsed = envelope.select(F.inline(F.array(body)), F.col("timestamp").alias("kafka_timestamp"))
+    place = [F.col(c).alias(f"kafka_{c}") for c in ("timestamp", "partition", "offset") if c in envelope.columns]
+    parsed = envelope.select(F.inline(F.array(body)), *place)
     columns = [
         (lenient_int(F.col(f.name)) if f.name in _NUMBERS else blank_to_null(F.col(f.name))).alias(f.name)
         for f in payload.fields
     ]
-    return parsed.select(*columns, "kafka_timestamp").filter(F.col("match_id").isNotNull())
+    order = [c for c in parsed.columns if c.startswith("kafka_")]
+    return parsed.select(*columns, *order).filter(F.col("match_id").isNotNull())
 
 
 def batch_sink(
@@ -41,10 +45,18 @@ def batch_sink(
     mode: str = "insert_only",
     on_batch: Callable[[int, int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch handler that merges each batch by match_id; an empty batch writes nothing."""
+    """A foreachBatch handler that merges each batch by match_id; an empty batch writes nothing.
+
+    Of a key's messages `insert_only` keeps the first and `upsert` the last, by timestamp, partition and offset, whether they
+    come in one batch or in several: an upsert never replaces a row by an older message.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        written = merge_table(batch, path, layout, ["match_id"], mode=mode, order_by=["kafka_timestamp"])
+        order = message_order(batch.columns)
+        written = merge_table(
+            batch, path, layout, ["match_id"], mode=mode, order_by=order, oldest=mode == "insert_only",
+            guard=[c for c in order if c in layout.names],
+        )
         if on_batch:
             on_batch(batch_id, written)
 
@@ -60,7 +72,7 @@ def start_ingest(
     mode: str = "insert_only",
     on_batch: Callable[[int, int], None] | None = None,
 ) -> StreamingQuery:
-    """Start ingesting; `once` drains what is available, in bounded batches, and stops."""
+    """Start ingesting; `once` drains what is available and stops, in batches as large as the source's own limit."""
     writer = (
         parse_messages(envelope)
         .writeStream.foreachBatch(batch_sink(path, mode=mode, on_batch=on_batch))
