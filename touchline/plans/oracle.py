@@ -284,7 +284,7 @@ SELECT 'data_freshness', age <= 90000,
 FROM (SELECT max(ts) AS latest,
              (epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(max(ts))) / 1000000.0 AS age FROM events)
 UNION ALL
-SELECT 'broken_check', false, 'Query failed:' FROM orders GROUP BY ALL"""
+SELECT DISTINCT 'broken_check', false, 'Query failed:' FROM orders"""
 
 _REASONS = """concat_ws(',', CASE WHEN match_id IS NULL THEN 'match_id_missing' END,
   CASE WHEN home_goals < 0 THEN 'home_goals_negative' END, CASE WHEN home_team = away_team THEN 'same_team' END,
@@ -448,7 +448,7 @@ seasons AS (
         "AS BIGINT) AS outcome, CAST(1.0 AS DOUBLE) AS probability_sum FROM keyed WHERE k % 31 <> 0 AND k % 37 <> 0",
     ),
     # The goal difference is a feature and decides the label, so every training row is told apart.
-    "train_accuracy": _sql(_MATCHES, "SELECT CAST(1.0 AS DOUBLE) AS accuracy FROM matches GROUP BY ALL"),
+    "train_accuracy": _sql(_MATCHES, "SELECT DISTINCT CAST(1.0 AS DOUBLE) AS accuracy FROM matches"),
     "run_states": _sql(
         _RUNS,
         "SELECT run_id, stage AS job, strftime(start_ts, '%Y-%m-%d %H:%M:%S.%f') AS start_ts, "
