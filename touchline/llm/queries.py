@@ -8,6 +8,7 @@ from touchline.llm import (
     bpe_automaton, decontamination, language_id, parity_join, quality_rules, secret_scan, suffix_dedup, token_counts,
     token_output, warc,
 )
+from touchline.llm.oracle import ORACLE_SQL  # noqa: F401
 from touchline.llm.support import table
 from touchline.session import scratch_path
 
@@ -48,7 +49,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_archives(table(spark, sf_dir, "pages"), f"{folder}/archives")
     warc.write_index(spark, f"{folder}/archives", f"{folder}/index")
     return warc.read_index(spark, f"{folder}/index").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "stamp"
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 
 
@@ -68,4 +69,3 @@ QUERIES = {
         op10_parity_join,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
