@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm import pretokens
 from touchline.llm.support import components, stored
+from touchline.operators.keyed import broadcast_if_small
 
 SHINGLE_WORDS = 3
 PERCENT = 90
@@ -178,8 +179,9 @@ def _pairs_of_bucket(bucket: dict[str, np.ndarray], forest: bool, percent: int)
     return found
 
 
-def _bucket_pairs(rows: DataFrame, forest: bool, percent: int) -> DataFrame:
-    """(key, i, j, a, b) of rows (key, i, j, rep, n, upper, sketch, component), each bucket by one task, sorted by rep."""
+def _bucket_pairs(rows: DataFrame, sketches: DataFrame, forest: bool, percent: int) -> DataFrame:
+    """(key, i, j, a, b) of rows (key, i, j, rep, upper, component) with their sketches (rep, n, low, high), each bucket by one
+    task, sorted by rep."""
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         name = None
@@ -210,7 +212,8 @@ def _bucket_pairs(rows: DataFrame, forest: bool, percent: int) -> DataFrame:
             yield batch_of(found)
         yield batch_of(close())
 
-    ordered = rows.select("key", "i", "j", "rep", "n", "upper", "sketch", "component")
+    sketch = F.when(F.col("upper"), F.col("low")).otherwise(F.col("high")).alias("sketch")
+    ordered = rows.join(sketches, "rep").select("key", "i", "j", "rep", "n", "upper", sketch, "component")
     ordered = ordered.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
     return ordered.mapInArrow(pairs, "key bigint, i int, j int, a bigint, b bigint")
 
@@ -270,28 +273,27 @@ def near_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     slim = stored(_word_keys(members).join(stored(met, "met"), "key"), "buckets")
     busy = members.join(slim.select("rep").distinct(), "rep", "left_semi")
     blocks = F.ceil(F.col("members") / block).cast("int")
+    sketches = stored(_folded_sketches(busy), "folded")
     rows = (
-        slim.join(stored(_folded_sketches(busy), "folded"), "rep")
-        .withColumn("mine", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
+        slim.withColumn("mine", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(
-            "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "n", "upper",
-            F.when(F.col("upper"), F.col("low")).otherwise(F.col("high")).alias("sketch"),
-        )
+        .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "upper")
     )
-    rows = stored(rows, "bucket-rows")
-    forest = stored(_bucket_pairs(rows.withColumn("component", F.col("rep")), True, percent), "forest")
+    forest = stored(_bucket_pairs(rows.withColumn("component", F.col("rep")), sketches, True, percent), "forest")
     pairs = forest.where("a <> b").select("a", "b").distinct()
     tested = stored(_verified(pairs, docs, members, size, percent), "tested")
     links = tested.where("linked").select("a", "b")
     failed = tested.where("not linked").select("a", "b")
     same = described.where("doc_id is not null and n > 0").join(groups, ["d1", "d2", "n"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
     if not failed.isEmpty():
-        unsettled = forest.join(failed, ["a", "b"], "left_semi").select("key", "i", "j").distinct()
+        bucket = ["key", "i", "j"]
+        unsettled = forest.join(failed, ["a", "b"], "left_semi").select(*bucket).distinct()
         known = components(links, "first-components").select(F.col("node").alias("rep"), "component")
-        again = rows.join(unsettled, ["key", "i", "j"], "left_semi").join(known, "rep", "left")
-        again = again.withColumn("component", F.coalesce("component", "rep"))
-        more = _bucket_pairs(again, False, percent).select("a", "b").where("a <> b").distinct().join(failed, ["a", "b"], "left_anti")
+        again = rows.join(broadcast_if_small(stored(unsettled, "unsettled")), bucket, "left_semi").join(known, "rep", "left")
+        again = stored(again.withColumn("component", F.coalesce("component", "rep")), "again")
+        mixed = again.groupBy(*bucket).agg(F.min("component").alias("_x"), F.max("component").alias("_y")).where("_x <> _y")
+        again = again.join(mixed.select(*bucket), bucket, "left_semi")
+        more = _bucket_pairs(again, sketches, False, percent).select("a", "b").where("a <> b").distinct().join(failed, ["a", "b"], "left_anti")
         more = stored(more, "more-pairs")
         links = links.union(_verified(more, docs, members, size, percent).where("linked").select("a", "b"))
     found = components(links.union(same))
