@@ -122,8 +122,10 @@ def secret_spans(docs: DataFrame, keep_columns: bool = False) -> DataFrame:
     parts = scanned.where(F.size("_weak") > 0).select(
         F.col("doc_id").alias("doc"), F.col("_hash").alias("text_hash"), F.inline(F.concat("_base", "_weak"))
     ).distinct()
-    linked = linked_parts(parts).groupBy("doc", "text_hash").agg(F.collect_list(F.struct("start", "kind", "stop")).alias("_more"))
-    same = scanned["doc_id"].eqNullSafe(linked["doc"]) & (scanned["_hash"] == linked["text_hash"])
+    linked = linked_parts(parts).groupBy(F.col("doc").alias("_doc"), F.col("text_hash").alias("_text_hash")).agg(
+        F.collect_list(F.struct("start", "kind", "stop")).alias("_more")
+    )
+    same = scanned["doc_id"].eqNullSafe(F.col("_doc")) & (scanned["_hash"] == F.col("_text_hash"))
     every = F.sort_array(F.concat("_base", F.coalesce("_more", F.array().cast(f"array<{SPAN}>"))))
     return scanned.join(linked, same, "left").select(
         *(docs.columns if keep_columns else ["doc_id"]), F.col("_base").alias("_base_spans"), every.alias("_all_spans")
