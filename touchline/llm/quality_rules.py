@@ -114,15 +114,17 @@ def quality(
     NULL id are ignored; labels that contradict each other are not trusted.
     """
     text = F.col("text")
+    found = F.transform(
+        F.array(blank_words(text)),
+        lambda words: F.struct(
+            *[c.alias(name) for name, c in surface_counts(text, words).items()],
+            hashed_ngrams(words, buckets).alias("grams"),
+        ),
+    )
+    # A generator: filters on what it makes are not pushed below it, where each mention would count everything anew.
     counted = docs.select(
         *([F.col(c) for c in docs.columns] if keep_columns else [F.col("doc_id")]),
-        let(
-            blank_words(text),
-            lambda words: F.struct(
-                *[c.alias(name) for name, c in surface_counts(text, words).items()],
-                hashed_ngrams(words, buckets).alias("grams"),
-            ),
-        ).alias("_found"),
+        F.explode(found).alias("_found"),
         bucket_ratios(docs, labels, buckets).scalar().alias("_ratios"),
     )
     total = F.aggregate("_found.grams", F.lit(0.0), lambda s, g: s + F.get("_ratios", g))
