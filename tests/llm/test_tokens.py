@@ -83,11 +83,13 @@ def test_token_store(spark, documents, library, tmp_path, monkeypatch):
     rows = [(1000 - k, t) for k, t in enumerate(all_texts)]
     token_output.write_token_store(documents(rows), str(tmp_path / "store"), shard_bytes=4000)
     back = token_output.read_token_store(spark, str(tmp_path / "store"))
-    got = sorted(token_output.token_digests(back).collect())
+    whole = {(r["doc_id"], r["start"]): r["ids"] for r in back.collect()}
+    got = sorted(token_output.token_digests(spark, str(tmp_path / "store")).collect())
     before = 0
     assert len(got) == len(rows)
     for (doc, text), row in zip(sorted(rows), got):
         ids = [*library[BYTE_BPE].encode(text or "", add_special_tokens=False).ids, 0]
+        assert whole[doc, before] == ids
         assert tuple(row) == (doc, before, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         before += len(ids)
 

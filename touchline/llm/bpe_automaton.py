@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +113,12 @@ class TokenAutomaton:
         return " ".join([self.labels[i] for i in ids])
 
 
+@lru_cache(maxsize=2)
+def _compiled(path: str) -> TokenAutomaton:
+    """One automaton for the tasks of a worker process."""
+    return TokenAutomaton(path)
+
+
 def encode_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = WORD_BPE, keep: bool = True
 ) -> DataFrame:
@@ -128,14 +135,14 @@ def encode_documents(
     schema += ", ids array<int>, decoded string" if keep else ""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = TokenAutomaton(path)
+        automaton = _compiled(path)
 
         def results(words: list[str]) -> list[tuple[bytes, bytes]]:
             found = map(automaton.encode_word, words)
             return [(np.array(ids, "<u4").tobytes(), automaton.decode(ids).encode()) for ids in found]
 
-        memo = pretokens.WordMemo(results, 250_000)
-        for batch in batches:
+        memo = pretokens.kept_memo(("automaton", path), results, 120_000)
+        for batch in pretokens.row_slices(batches):
             texts = batch.column("text").to_pylist()
             counts = [0] * len(texts)
             digests = [(hashlib.sha256(), hashlib.sha256()) for _ in texts]

@@ -13,9 +13,10 @@ import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 SPACE, LETTER, NUMBER, OTHER, MARK = range(5)
-BATCH_CHARS = 1_500_000  # code points worked on at once, about 60 bytes of arrays each
+BATCH_CHARS = 1_000_000  # code points worked on at once, about 60 bytes of arrays each
 TEXT_END = "\udfff"  # surrogates never occur in valid text: they stand for the ends of texts and for special tokens
 _BASE, _MIX = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 _WHITE = {*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000}
@@ -57,6 +58,13 @@ def character_classes(codes: np.ndarray) -> np.ndarray:
     return _Tables.classes_to(int(codes.max(initial=0)))[codes]
 
 
+def row_slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of so many rows, so that few texts are Python strings at a time."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def special_marks(specials: dict[str, int]) -> tuple[re.Pattern | None, dict[str, str]]:
     """The pattern that finds special strings, and the surrogate that stands for each."""
     if not specials:
@@ -184,14 +192,17 @@ def blank_word_hashes(texts: list[str | None]) -> list[np.ndarray]:
 
 
 class WordMemo:
-    """Results by word hash. `encode` gets new distinct words and returns a list or array of results in their order."""
+    """Results by word hash. `encode` gets new distinct words and returns a list or array of results in their order.
+
+    The first `limit` words stay; as many again are kept until that room is full. It is a matter of time and memory only.
+    """
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], list], limit: int = 300_000):
         self.encode, self.limit = encode, limit
         self.keys, self.slots, self.values = np.empty(0, np.uint64), np.empty(0, np.int64), []
 
     def _forget(self) -> None:
-        """Back to the first words that came, common ones among them: a matter of time and memory only."""
+        """Back to the first words that came, common ones among them."""
         first = self.slots < self.limit
         self.keys, self.slots = self.keys[first], self.slots[first]
         del self.values[self.limit :]
@@ -199,7 +210,7 @@ class WordMemo:
     def slots_of(self, joined: str, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """The slot in `values` of each word, valid until the next call."""
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) > self.limit:
+        if len(self.keys) > 2 * self.limit:
             self._forget()
         at = np.searchsorted(self.keys, distinct)
         known = np.zeros(len(distinct), bool)
@@ -220,13 +231,18 @@ class WordMemo:
 _MEMOS: dict[tuple, WordMemo] = {}
 
 
-def kept_memo(name: tuple, encode: Callable[[list[str]], list]) -> WordMemo:
+def kept_memo(name: tuple, encode: Callable[[list[str]], list], limit: int = 300_000) -> WordMemo:
     """The memo of this name in a worker process, which serves several tasks."""
-    memo = _MEMOS.setdefault(name, WordMemo(encode))
+    memo = _MEMOS.setdefault(name, WordMemo(encode, limit))
     memo.encode = encode
     return memo
 
 
+def drop_memos() -> None:
+    """Free the memos of a worker process that has turned to other work."""
+    _MEMOS.clear()
+
+
 def encoded(
     texts: list[str | None], specials: dict[str, int], keep_space: bool, normal: Callable[[str], str] | None, memo: WordMemo
 ) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:

@@ -33,7 +33,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-store")
     token_output.write_token_store(table(spark, sf_dir, "documents"), folder)
-    return token_output.token_digests(token_output.read_token_store(spark, folder))
+    return token_output.token_digests(spark, folder)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

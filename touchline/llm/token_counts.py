@@ -97,7 +97,7 @@ def token_counts(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger = RankMerger(path)
         memo = pretokens.WordMemo(merger.counts)
-        for batch in batches:
+        for batch in pretokens.row_slices(batches):
             texts = batch.column("text").to_pylist()
             tokens = np.zeros(len(texts), np.int64)
             for owners, slots, bounds in pretokens.encoded(texts, merger.specials, False, pretokens.lower_nfc, memo):

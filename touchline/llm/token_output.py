@@ -13,8 +13,9 @@ lost executor only repeats its tasks.
 
 from __future__ import annotations
 
+import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +25,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from touchline.llm import pretokens
+from touchline.llm.native import BLANKS
 from touchline.llm.support import BYTE_BPE, stored, tokenizer_file
 
 END_ID = 0
 BLOCK_IDS = 200_000  # ids after which a block ends with its document
-LIBRARY_WORDS = 2_000  # words in one call of the library, whose results are large
+LIBRARY_WORDS = 5_000  # words in one call of the library
+JOINED_WORDS = 50
 SHARD_BYTES = 32 * 1024 * 1024  # of staged ids, two bytes each
 BLOCKS = (
     "shard int, block int, first_id bigint, doc_ids binary, lengths binary, control binary, data binary"
@@ -74,23 +77,40 @@ def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     width = id_dtype(path)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given the task its core
         library = Tokenizer.from_file(path)
+        id_bytes = np.zeros(library.get_vocab_size(), np.int64)
+        for token, i in library.get_vocab().items():
+            id_bytes[i] = len(token)  # byte-level symbols: a character for each byte
         specials = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
         ids_of_special = list(specials.values())
 
         def results(words: list[str]) -> list[bytes]:
-            found = []
-            for k in range(0, len(words), LIBRARY_WORDS):
-                some = words[k : k + LIBRARY_WORDS]
-                marks = ["\ud800" <= w < "\udfff" for w in some]
-                ids = library.encode_batch_fast(["" if m else w for w, m in zip(some, marks)], add_special_tokens=False)
-                found += [
-                    np.array([ids_of_special[ord(w) - 0xD800]] if m else e.ids, width).tobytes() for w, m, e in zip(some, marks, ids)
-                ]
+            """Ids of distinct pre-tokens. Words that a blank begins are pre-tokens behind each other as well, so many of them
+            are one text for the library, and their byte lengths tell the ids apart."""
+            found: list[bytes] = [b""] * len(words)
+            apart, joined = [], []
+            for k, w in enumerate(words):
+                (joined if len(w) > 1 and w[0] == " " and w[1] not in BLANKS and not w[1].isspace() else apart).append(k)
+            for begin in range(0, len(joined), LIBRARY_WORDS):
+                some = joined[begin : begin + LIBRARY_WORDS]
+                texts = ["".join([words[k] for k in some[j : j + JOINED_WORDS]]) for j in range(0, len(some), JOINED_WORDS)]
+                lists = [np.array(e.ids, width) for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+                ids = np.concatenate(lists)
+                stops = np.cumsum([len(words[k].encode()) for k in some])
+                ends = (np.searchsorted(np.cumsum(id_bytes[ids]), stops) + 1).tolist()
+                for k, a, b in zip(some, [0, *ends], ends):
+                    found[k] = ids[a:b].tobytes()
+            for begin in range(0, len(apart), LIBRARY_WORDS):
+                some = apart[begin : begin + LIBRARY_WORDS]
+                marks = ["\ud800" <= words[k] < "\udfff" for k in some]
+                lists = library.encode_batch_fast(["" if m else words[k] for k, m in zip(some, marks)], add_special_tokens=False)
+                for k, m, e in zip(some, marks, lists):
+                    found[k] = np.array([ids_of_special[ord(words[k]) - 0xD800]] if m else e.ids, width).tobytes()
             return found
 
         memo = pretokens.kept_memo(("ids", path), results)
-        for batch in batches:
+        for batch in pretokens.row_slices(batches):
             texts = batch.column("text").to_pylist()
             parts: list[list[bytes]] = [[] for _ in texts]
             for owners, slots, bounds in pretokens.encoded(texts, specials, True, None, memo):
@@ -131,6 +151,7 @@ def write_token_store(
     staged = stored(tokenized(docs, id_col, text_col, tokenizer, end_id), "tokens")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pretokens.drop_memos()
         totals = np.zeros(1 << 16, np.int64)
         for batch in batches:
             for ids in batch.column("ids"):
@@ -148,6 +169,7 @@ def write_token_store(
     rank_of[ranked] = np.arange(len(ranked), dtype=np.uint32)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pretokens.drop_memos()
         shard, block, written = TaskContext.get().partitionId(), 0, 0
         doc_ids: list[int | None] = []
         held: list[np.ndarray] = []
@@ -184,29 +206,38 @@ def write_token_store(
     ordered.mapInArrow(code, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
-def read_token_store(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, start, ids) of every document in a store: ids is an array, start counts the ids of all documents before."""
-    def read(shard_first: dict[int, int], id_of: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _decoded(spark: SparkSession, folder: str) -> tuple[DataFrame, Callable]:
+    """The blocks of a store, and the function that decodes a batch of them to (doc ids, starts, bounds, ids) block by block."""
+    ranks = spark.read.parquet(f"{folder}/ranks").orderBy("rank").collect()
+    id_of = np.array([r["id"] for r in ranks], np.int32)
+    blocks = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks")
+    shard_first = _shard_starts(blocks)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        pretokens.drop_memos()
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
                 lengths = np.frombuffer(row["lengths"], "<u8").astype(np.int64)
                 ids = id_of[decode_values(row["control"], row["data"], int(lengths.sum()))]
                 bounds = np.concatenate([[0], np.cumsum(lengths)])
                 names = np.frombuffer(row["doc_ids"], "<i8")
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(names, mask=names == -(1 << 63)),
-                        pa.array(shard_first[row["shard"]] + row["first_id"] + bounds[:-1]),
-                        pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int64())),
-                    ],
-                    ["doc_id", "start", "ids"],
-                )
+                doc_ids = pa.array(names, mask=names == -(1 << 63))
+                yield doc_ids, pa.array(shard_first[row["shard"]] + row["first_id"] + bounds[:-1]), bounds, ids
 
-    ranks = spark.read.parquet(f"{folder}/ranks").orderBy("rank").collect()
-    id_of = np.array([r["id"] for r in ranks], np.int64)
-    blocks = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks")
-    shard_first = _shard_starts(blocks)
-    return blocks.mapInArrow(lambda batches: read(shard_first, id_of, batches), "doc_id bigint, start bigint, ids array<bigint>")
+    return blocks, decode
+
+
+def read_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, start, ids) of every document in a store: ids is an array, start counts the ids of all documents before."""
+    blocks, decode = _decoded(spark, folder)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc_ids, starts, bounds, ids in decode(batches):
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([doc_ids, starts, lists], ["doc_id", "start", "ids"])
+
+    return blocks.mapInArrow(read, "doc_id bigint, start bigint, ids array<int>")
 
 
 def _shard_starts(blocks: DataFrame) -> dict[int, int]:
@@ -224,17 +255,15 @@ def _shard_starts(blocks: DataFrame) -> dict[int, int]:
     return starts
 
 
-def token_digests(documents: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of what read_token_store gives."""
+def token_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document in a store, as its files are decoded."""
+    blocks, decode = _decoded(spark, folder)
+
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = [np.array(x.values, "<u4") for x in batch.column("ids")]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), batch.column("start"), pa.array([len(x) for x in lists], pa.int64()),
-                    pa.array([zlib.crc32(x.tobytes()) for x in lists], pa.int64()),
-                ],
-                ["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
+        for doc_ids, starts, bounds, ids in decode(batches):
+            data = memoryview(ids.astype("<u4").tobytes())
+            sums = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            columns = [doc_ids, starts, pa.array(np.diff(bounds)), pa.array(sums, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return documents.mapInArrow(digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return blocks.mapInArrow(digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
