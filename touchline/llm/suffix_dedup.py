@@ -7,7 +7,9 @@ offsets. Strings behind each other that share their anchor form a context; one s
 - Copies of a whole context go but for the first. Those within a batch are settled where they are read; so an anchor
   that occurs in a third of all documents sends one row per batch into the shuffle, not one per document.
 - Where one anchor has different contexts, their suffixes are sorted (lyndon_suffixes): equal strings become neighbours
-  in the suffix array, and all of them but the first go.
+  in the suffix array, and all of them but the first go. Before that a context is halved: a string with enough bytes on the
+  anchor's left equals only strings with the same ones there, and any other string has as many on the right. Halves
+  that stand alone with those bytes cannot repeat and need no sorting.
 - An anchor with very many different contexts would be one task's work. Its strings are compared one by one instead, by
   the same rule, with the string itself as the shuffle's key.
 """
@@ -35,6 +37,7 @@ SUFFIX_TEXT = 60_000  # bytes of contexts sorted together; a single anchor may b
 _CHUNK = 1_000_000  # bytes worked on at once
 _INDEX_BITS = np.uint64(22)  # place within a chunk, in the low bits of a k-mer's rank
 _ROWS = "anchor bigint, content bigint, doc bigint, start bigint, strings int, gone boolean"
+_OFFSET_BITS = 12  # a context's shape is its number of strings, then the anchor's offset in its first string
 _GONE = "doc bigint, start bigint, stop bigint"
 
 
@@ -49,7 +52,7 @@ def _windows_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def contexts(data: bytes, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of one text: anchor hash, content hash, first string and number of strings of each context."""
+    """Of one text: anchor hash, content hash, first string, and packed shape of each context."""
     none = np.empty(0, np.int64)
     found = [(none.astype(np.uint64), none.astype(np.uint64), none, none)]
     for begin in range(0, max(0, len(data) - length + 1), _CHUNK):
@@ -61,7 +64,7 @@ def contexts(data: bytes, length: int, anchor: int) -> tuple[np.ndarray, np.ndar
         first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
         strings = np.diff(np.append(first, len(at)))
         content = pretokens.run_hashes(codes, first, first + strings + length - 1)
-        found.append((kmers[at[first]], content, first + begin, strings))
+        found.append((kmers[at[first]], content, first + begin, strings << _OFFSET_BITS | at[first] - first))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
@@ -133,7 +136,7 @@ def _compared(rows: DataFrame) -> DataFrame:
 
 
 def repeated_strings(pieces: list[tuple[int, int, bytes]], length: int) -> list[tuple[int, int, int]]:
-    """(doc, start, stop) of what repeats an earlier string, among contexts (doc, start, bytes)."""
+    """(doc, start, stop) of what repeats an earlier string, among pieces (doc, start, bytes)."""
     text: list[int] = []
     owner: list[int] = []
     for k, (_, _, data) in enumerate(pieces):
@@ -141,6 +144,8 @@ def repeated_strings(pieces: list[tuple[int, int, bytes]], length: int) -> list[
         text.append(1)
         owner += [k] * (len(data) + 1)
     text.append(0)
+    if not pieces:
+        return []
     begins, at = [], 0
     for _, _, data in pieces:
         begins.append(at)
@@ -183,23 +188,57 @@ def _gone_batch(spans: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "start", "stop"])
 
 
-def _by_suffixes(opened: DataFrame, length: int) -> DataFrame:
-    """What is gone among open contexts (anchor, doc, start, data), a bounded number for each anchor."""
+def _halves(rows: list[tuple[int, int, int, bytes]], length: int, anchor: int) -> dict[tuple[int, bytes], list]:
+    """The halves (doc, start, bytes) of one anchor's contexts (doc, start, offset, bytes), by side and the bytes there."""
+    side = (length - anchor) // 2
+    found: dict[tuple[int, bytes], list] = {}
+    for doc, start, offset, data in rows:
+        last, border = len(data) - length, offset - side  # strings up to the border have `side` bytes left of the anchor
+        if border >= 0:
+            part = data[: min(last, border) + length]
+            found.setdefault((0, data[offset - side : offset]), []).append((doc, start, part))
+        if border < last:
+            first = max(0, border + 1)
+            key = data[offset + anchor : offset + anchor + side]
+            found.setdefault((1, key), []).append((doc, start + first, data[first:]))
+    return found
+
+
+def _by_suffixes(opened: DataFrame, length: int, anchor: int) -> DataFrame:
+    """What is gone among open contexts (anchor, doc, start, offset, data), a bounded number for each anchor."""
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, bytes]] = []
-        size, name = 0, None
-        for batch in batches:
-            for anchor, doc, start, data in zip(*[batch.column(k).to_pylist() for k in range(4)]):
-                if anchor != name and size >= SUFFIX_TEXT:  # whole anchors are sorted together
-                    yield _gone_batch(repeated_strings(held, length))
-                    held, size = [], 0
-                name = anchor
-                held.append((doc, start, data))
-                size += len(data)
-        if held:
-            yield _gone_batch(repeated_strings(held, length))
+        held: list[tuple[int, int, bytes]] = []  # different halves that may share strings
+        gone: list[tuple[int, int, int]] = []
+        size, name, rows = 0, None, []
+
+        def settle() -> None:
+            nonlocal size
+            for half in _halves(rows, length, anchor).values():
+                seen: set[bytes] = set()
+                kept = []
+                for doc, start, data in half:  # rows come in the order of documents and places
+                    if data in seen:
+                        gone.append((doc, start, start + len(data)))
+                    else:
+                        seen.add(data)
+                        kept.append((doc, start, data))
+                if len(kept) > 1:
+                    held.extend(kept)
+                    size += sum(len(x[2]) for x in kept)
 
-    rows = opened.select("anchor", "doc", "start", "data")
+        for batch in batches:
+            for key, *row in zip(*[batch.column(k).to_pylist() for k in range(5)]):
+                if key != name:
+                    settle()
+                    name, rows = key, []
+                    if size >= SUFFIX_TEXT:  # whole anchors are sorted together
+                        yield _gone_batch(gone + repeated_strings(held, length))
+                        held, gone, size = [], [], 0
+                rows.append(tuple(row))
+        settle()
+        yield _gone_batch(gone + repeated_strings(held, length))
+
+    rows = opened.select("anchor", "doc", "start", "offset", "data")
     return rows.repartition("anchor").sortWithinPartitions("anchor", "doc", "start").mapInArrow(sort, _GONE)
 
 
@@ -220,7 +259,7 @@ def _by_strings(opened: DataFrame, length: int) -> DataFrame:
             again = np.zeros(len(order), bool)
             again[1:] = (anchors[1:] == anchors[:-1]) & (content[1:] == content[:-1])
             key = pretokens.scrambled(anchors.view(np.uint64) + content).view(np.int64)
-            yield _batch(key, content.view(np.int64), doc, start, np.ones(len(order), int), again)
+            yield _batch(key, content.view(np.int64), doc, start, np.full(len(order), 1 << _OFFSET_BITS), again)
 
     rows = opened.select("anchor", "doc", "start", "data").mapInArrow(strings, _ROWS)
     return _compared(rows).where("gone").select("doc", "start", (F.col("start") + length).alias("stop"))
@@ -239,13 +278,16 @@ def _named(docs: DataFrame) -> DataFrame:
 
 def removed_spans(named: DataFrame, length: int = LENGTH, anchor: int = ANCHOR_BYTES, per_anchor: int = CONTEXTS_PER_ANCHOR) -> DataFrame:
     """(doc, start, stop) of the bytes that go, of rows (doc, text); spans may overlap or touch."""
+    strings = F.shiftright("strings", _OFFSET_BITS)
     compared = stored(_compared(_context_rows(named, length, anchor)), "contexts")
-    whole = compared.where("gone").select("doc", "start", (F.col("start") + F.col("strings") + length - 1).alias("stop"))
+    whole = compared.where("gone").select("doc", "start", (F.col("start") + strings + length - 1).alias("stop"))
     wanted = broadcast_if_small(compared.where("not gone"))
-    data = F.expr(f"substring(cast(text as binary), int(start) + 1, strings + {length - 1})")
-    opened = stored(named.select("doc", "text").join(wanted, "doc").select("anchor", "doc", "start", "others", data.alias("data")), "open")
+    data = F.expr(f"substring(cast(text as binary), int(start) + 1, shiftright(strings, {_OFFSET_BITS}) + {length - 1})")
+    opened = stored(named.select("doc", "text").join(wanted, "doc").select(
+        "anchor", "doc", "start", "others", F.col("strings").bitwiseAND(F.lit((1 << _OFFSET_BITS) - 1)).alias("offset"), data.alias("data")
+    ), "open")
     some, many = opened.where(F.col("others") <= per_anchor), opened.where(F.col("others") > per_anchor)
-    return whole.union(_by_suffixes(some, length)).union(_by_strings(many, length))
+    return whole.union(_by_suffixes(some, length, anchor)).union(_by_strings(many, length))
 
 
 def suffix_dedup(
