@@ -306,12 +306,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents whose id is the smallest of their component, whole rows; one of rows with equal ids stays.
 
     Rows without an id stay."""
-    kept = near_components(docs).where("component_id = doc_id").select(F.col("doc_id").alias("_doc")).distinct()
-    named = docs.join(kept, docs["doc_id"] == F.col("_doc"), "left_semi")
+    extra = near_components(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("_doc")).distinct()
+    # The others are fewer than the kept: while they are few enough to broadcast, no text is shuffled.
+    kept = docs.join(broadcast_if_small(stored(extra, "extra")), docs["doc_id"] == F.col("_doc"), "left_anti")
+    named = kept.where("doc_id is not null")
     if named.groupBy("doc_id").count().where("count > 1").isEmpty():
-        one = named
-    else:
-        one = named.groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("_r")).select(
-            *["doc_id" if c == "doc_id" else F.col(f"_r.{c}").alias(c) for c in docs.columns]
-        )
+        return kept
+    one = named.groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("_r")).select(
+        *["doc_id" if c == "doc_id" else F.col(f"_r.{c}").alias(c) for c in docs.columns]
+    )
     return one.unionByName(docs.where("doc_id is null"))
