@@ -12,13 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from touchline.llm import bpe_automaton, decontamination, parity_join, quality_rules, secret_scan
 from touchline.llm.support import stored, table
 
+# What counts as a near duplicate in a corpus; the query of the join alone has its own contract (3 words, 90 %).
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.quality(docs, table(spark, sf_dir, "labels"), keep_columns=True)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return parity_join.one_of_each(docs)
+    return parity_join.one_of_each(docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

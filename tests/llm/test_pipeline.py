@@ -1,9 +1,10 @@
 """The pipeline's stages against plain Python, one after another."""
 
+import random
 import re
 
 import pytest
-from brute import base_secrets, contaminated, near_components, surface
+from brute import BLANK, LOWER, base_secrets, contaminated, near_components, surface
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -54,3 +55,58 @@ def test_run_gives_the_last_stage(spark, stages):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert sorted(r["ids_sha256"] for r in rows) == sorted(r["ids_sha256"] for r in stages["bpe encoding"])
     assert re.fullmatch("[0-9a-f]{64}", rows[0]["ids_sha256"])
+
+
+def first_of_each(rows, size=5, percent=80):
+    """The smallest id of each component of (doc_id, text) rows, by all pairs."""
+    sets = []
+    for i, text in rows:
+        words = re.findall(BLANK, text.translate(LOWER))
+        sets.append((i, {tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))} if words else set()))
+    up = {i: i for i, _ in sets}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, (i, x) in enumerate(sets):
+        for j, y in sets[:a]:
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                up[max(root(i), root(j))] = min(root(i), root(j))
+    return {root(i) for i in up}
+
+
+def test_near_duplicates_are_five_words_at_four_fifths(documents, spark):
+    dice = random.Random(4)
+    rows = []
+    for base in range(6):
+        words = [f"b{base}w{k}" for k in range(100)]
+        rows.append((100 * base, " ".join(words)))
+        for copy in range(6):
+            changed = list(words)
+            # Two words of a hundred: 86 of 106 shingles of five, 92 of 104 of three; three words are too many for both.
+            for at in dice.sample(range(10, 90, 10), copy // 2 + 1):
+                changed[at] = f"x{base}{copy}{at}"
+            rows.append((100 * base + copy + 1, " ".join(changed)))
+    rows += [(900, "one two"), (901, "One  two"), (902, "")]
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_one_of_each(spark, documents(rows), SF).collect()}
+    assert kept == first_of_each(rows) and kept != {c for _, c in near_components(rows).values()}
+
+
+def test_stages_after_near_duplicates(stages, spark):
+    """As test_stages_keep_and_drop from its second stage on, by what the corpus calls a near duplicate."""
+    one = texts(stages["near duplicates"])
+    assert set(one) == first_of_each(sorted(texts(stages["quality rules"]).items()))
+    items = [tuple(r) for r in table(spark, SF, "benchmark").select("item_id", "text").collect()]
+    clean = texts(stages["decontamination"])
+    assert set(clean) == {i for i, t in one.items() if not contaminated(t, items)[-1]}
+    redacted = texts(stages["secret scan"])
+    assert set(redacted) == set(clean)
+    for i, text in redacted.items():
+        assert sum(base_secrets(text)[:3]) == 0
+        assert text == clean[i] or "[SECRET]" in text
+    library = Tokenizer.from_file(tokenizer_file(WORD_BPE))
+    assert {r["doc_id"]: r["ids"] for r in stages["bpe encoding"]} == {
+        i: library.encode(t, add_special_tokens=False).ids for i, t in redacted.items()
+    }

@@ -302,11 +302,11 @@ def near_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     return joined.select("doc_id", "n_shingles", ids)
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents whose id is the smallest of their component, whole rows; one of rows with equal ids stays.
 
     Rows without an id stay."""
-    extra = near_components(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("_doc")).distinct()
+    extra = near_components(docs, size, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("_doc")).distinct()
     # The others are fewer than the kept: while they are few enough to broadcast, no text is shuffled.
     kept = docs.join(broadcast_if_small(stored(extra, "extra")), docs["doc_id"] == F.col("_doc"), "left_anti")
     named = kept.where("doc_id is not null")
