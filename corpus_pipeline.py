@@ -22,7 +22,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return parity_join.one_of_each(docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
+    return parity_join.one_of_each_text(docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -110,3 +110,15 @@ def test_stages_after_near_duplicates(stages, spark):
     assert {r["doc_id"]: r["ids"] for r in stages["bpe encoding"]} == {
         i: library.encode(t, add_special_tokens=False).ids for i, t in redacted.items()
     }
+
+
+def test_texts_of_one_id_are_told_apart(documents, spark):
+    a, b, c, d = (" ".join(f"{name}{k}" for k in range(60)) for name in "abcd")
+    rows = [(1, a), (9, a), (9, b), (7, c), (7, d), (8, d), (3, b), (4, c + " more"), (7, c), (None, a), (6, ""), (6, ""), (5, None)]
+    kept = corpus_pipeline.keep_one_of_each(spark, documents(rows), SF)
+    assert kept.columns == documents(rows).columns
+    # 9 loses both texts to other ids, 7 keeps the one that only it has first; nothing joins a with b or c with d.
+    expected = [(1, a), (3, b), (4, c + " more"), (7, d), (None, a), (6, ""), (5, None)]
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, expected))
+    alone = corpus_pipeline.keep_one_of_each(spark, documents([(1, a), (9, a), (9, b)]), SF).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in alone) == [(1, a), (9, b)]

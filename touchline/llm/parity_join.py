@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from touchline.llm import pretokens
 from touchline.llm.support import components, stored
 from touchline.operators.keyed import broadcast_if_small
+from touchline.operators.numbering import number_rows
 
 SHINGLE_WORDS = 3
 PERCENT = 90
@@ -316,3 +317,18 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCE
         *["doc_id" if c == "doc_id" else F.col(f"_r.{c}").alias(c) for c in docs.columns]
     )
     return one.unionByName(docs.where("doc_id is null"))
+
+
+def one_of_each_text(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """As one_of_each, but rows with one id and different texts are documents of their own, in the order of ids and hashes
+    of texts. Of rows equal in both one stays; rows without an id stay."""
+    named = docs.where("doc_id is not null")
+    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return one_of_each(docs, size, percent)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = named.groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias("_0"), *rest)).alias("_r"))
+    order = [F.col("doc_id"), F.xxhash64("text"), F.col("text")]
+    numbered = stored(number_rows(rows.select("doc_id", "text", "_r"), *order, name="_row"), "numbered-texts")
+    kept = one_of_each(numbered.select(F.col("_row").alias("doc_id"), "text", F.struct("doc_id", "_r").alias("_of")), size, percent)
+    columns = [F.col("_of.doc_id") if c == "doc_id" else F.col(c) if c == "text" else F.col(f"_of._r.{c}").alias(c) for c in docs.columns]
+    return kept.select(*columns).unionByName(docs.where("doc_id is null"))
