@@ -138,3 +138,38 @@ def test_repeats_edges(documents):
     n = len(text)
     assert got == [("1", 2 * n, 2 * n), ("4", 5, 0), ("4", n, n), ("4", n, n), ("None", n, 0)]
     assert suffix_dedup.suffix_dedup(documents([])).collect() == []
+
+
+@pytest.mark.parametrize("most", [3, 2000])
+def test_rows_of_an_anchor_are_not_held(most):
+    dice = random.Random(most)
+    rows = []
+    for anchor, n in ((1, 1), (2, 2), (3, 900), (4, 3), (5, 4), (6, 1)):
+        for content in range(n):
+            rows += [(anchor, content, doc, dice.randrange(50), 1, False) for doc in range(dice.choice([1, 1, 2, 3]))]
+    rows += [(anchor, 0, 9, 9, 1, True) for anchor in (2, 3, 7)]
+    rows.sort(key=lambda r: (r[0], r[5], *r[1:4]))
+    first, different = {}, {}
+    for r in rows:
+        if not r[5] and first.setdefault(r[:2], r) is r:
+            different[r[0]] = different.get(r[0], 0) + 1
+    expected = []
+    for a, c, doc, start, strings, gone in rows:
+        gone = gone or first[a, c] != (a, c, doc, start, strings, gone)
+        if gone or different[a] > 1:
+            expected.append((a, doc, start, strings, gone, 0 if gone else min(different[a], most + 1)))
+    for size in (1, 7, 100, len(rows)):
+        given, got = 0, []
+
+        def batches():
+            nonlocal given
+            for k in range(0, len(rows), size):
+                part = rows[k : k + size]
+                # What has neither left nor vanished is at most `most` rows of the last anchor, besides lone contexts.
+                assert given - len(got) <= most + 5
+                given += len(part)
+                yield [np.array(c, bool if n == 5 else np.int64) for n, c in enumerate(zip(*part))]
+
+        for columns in suffix_dedup.settled_rows(batches(), most):
+            got += zip(*[c.tolist() for c in columns])
+        assert sorted(got) == sorted(expected)

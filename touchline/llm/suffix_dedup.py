@@ -17,7 +17,7 @@ offsets. Strings behind each other that share their anchor form a context; one s
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -92,41 +92,16 @@ def _batch(*columns: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _compared(rows: DataFrame) -> DataFrame:
-    """Rows of one anchor together: copies of a context but for the first are gone; the first ones stay open where the
-    anchor has others (`others`: how many different contexts), and vanish where it has none."""
+def _compared(rows: DataFrame, most: int) -> DataFrame:
+    """Copies of a context but for the first are gone; the first ones stay open where their anchor has others, and vanish
+    where it has none. `others`: how many different contexts the anchor has, counted up to `most` + 1. Rows of one anchor
+    pass one after another, and no more than `most` of them are held until that number is known."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []  # rows of the last anchor seen, which may go on in the next batch
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            anchors = batch.column("anchor").to_numpy()
-            border = int(np.flatnonzero(np.append(True, anchors[1:] != anchors[:-1]))[-1])
-            if held and (border or held[-1].column("anchor")[0].as_py() != anchors[0]):
-                yield settle([*held, batch.slice(0, border)])
-                held = []
-            elif border:
-                yield settle([batch.slice(0, border)])
-            held.append(batch.slice(border))
-        if held:
-            yield settle(held)
-
-    def settle(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        whole = pa.Table.from_batches(parts)
-        anchors, content, doc, start, strings, gone = (whole.column(c).to_numpy() for c in whole.column_names)
-        new_anchor = np.append(True, anchors[1:] != anchors[:-1])
-        open_rows = ~gone
-        # The first open row of each content; rows come sorted, those already gone last.
-        new_content = new_anchor | np.append(True, content[1:] != content[:-1])
-        copies = open_rows & ~new_content
-        group = np.cumsum(new_anchor) - 1
-        others = np.bincount(group[open_rows & new_content], minlength=group[-1] + 1)[group]
-        keep = gone | copies | (open_rows & new_content & (others > 1))
-        columns = [anchors, doc, start, strings, gone | copies, others]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c[keep]).cast(t) for c, t in zip(columns, kinds)], ["anchor", "doc", "start", "strings", "gone", "others"]
-        )
+        for columns in settled_rows(([c.to_numpy(zero_copy_only=False) for c in batch.columns] for batch in batches), most):
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c).cast(t) for c, t in zip(columns, kinds)], ["anchor", "doc", "start", "strings", "gone", "others"]
+            )
 
     # Rows that are gone need no company: they are dealt out at random by their own hash.
     key = F.when(F.col("gone"), F.xxhash64("content", "doc", "start")).otherwise(F.col("anchor"))
@@ -135,6 +110,44 @@ def _compared(rows: DataFrame) -> DataFrame:
     return ordered.mapInArrow(compare, "anchor bigint, doc bigint, start bigint, strings int, gone boolean, others bigint")
 
 
+def settled_rows(batches: Iterable[list[np.ndarray]], most: int) -> Iterator[list[np.ndarray]]:
+    """Columns (anchor, doc, start, strings, gone, others) of batches (anchor, content, doc, start, strings, gone) that come
+    sorted by anchor, gone, content, doc and start; see _compared."""
+    name = last = None  # anchor and content of the row before
+    count, held = 0, []  # of that anchor: different contexts so far, and those whose fate is open, `most` at most
+
+    def as_open(columns: list[np.ndarray], others: np.ndarray) -> list[np.ndarray]:
+        return [*columns, np.zeros(len(others), bool), np.minimum(others, most + 1)]
+
+    for anchors, content, doc, start, strings, gone in batches:
+        if not len(anchors):
+            continue
+        new_anchor = np.append(anchors[0] != name, anchors[1:] != anchors[:-1])
+        new_content = new_anchor | np.append(content[0] != last, content[1:] != content[:-1])
+        first = ~gone & new_content
+        group = np.cumsum(new_anchor)  # 0 is the anchor of the row before
+        different = np.bincount(group[first], minlength=group[-1] + 1)
+        different[0] += count
+        known = different > most
+        known[:-1] = True  # all but the last anchor are complete
+        rows = [anchors, doc, start, strings]
+        out = []
+        if known[0]:
+            out += [as_open(x, np.full(len(x[0]), different[0])) for x in held if different[0] > 1]
+            held = []
+        copies = ~first  # rows that came as gone, too
+        out.append([*[c[copies] for c in rows], np.ones(int(copies.sum()), bool), np.zeros(int(copies.sum()), np.int64)])
+        ready = first & known[group] & (different[group] > 1)
+        out.append(as_open([c[ready] for c in rows], different[group][ready]))
+        waiting = first & ~known[group]
+        if waiting.any():
+            held.append([c[waiting] for c in rows])
+        name, last, count = anchors[-1], content[-1], int(different[-1])
+        yield [np.concatenate(x) for x in zip(*out)]
+    if count > 1 and held:
+        yield [np.concatenate(x) for x in zip(*[as_open(x, np.full(len(x[0]), count)) for x in held])]
+
+
 def repeated_strings(pieces: list[tuple[int, int, bytes]], length: int) -> list[tuple[int, int, int]]:
     """(doc, start, stop) of what repeats an earlier string, among pieces (doc, start, bytes)."""
     text: list[int] = []
@@ -262,7 +275,7 @@ def _by_strings(opened: DataFrame, length: int) -> DataFrame:
             yield _batch(key, content.view(np.int64), doc, start, np.full(len(order), 1 << _OFFSET_BITS), again)
 
     rows = opened.select("anchor", "doc", "start", "data").mapInArrow(strings, _ROWS)
-    return _compared(rows).where("gone").select("doc", "start", (F.col("start") + length).alias("stop"))
+    return _compared(rows, 1).where("gone").select("doc", "start", (F.col("start") + length).alias("stop"))
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -279,7 +292,7 @@ def _named(docs: DataFrame) -> DataFrame:
 def removed_spans(named: DataFrame, length: int = LENGTH, anchor: int = ANCHOR_BYTES, per_anchor: int = CONTEXTS_PER_ANCHOR) -> DataFrame:
     """(doc, start, stop) of the bytes that go, of rows (doc, text); spans may overlap or touch."""
     strings = F.shiftright("strings", _OFFSET_BITS)
-    compared = stored(_compared(_context_rows(named, length, anchor)), "contexts")
+    compared = stored(_compared(_context_rows(named, length, anchor), per_anchor), "contexts")
     whole = compared.where("gone").select("doc", "start", (F.col("start") + strings + length - 1).alias("stop"))
     wanted = broadcast_if_small(compared.where("not gone"))
     data = F.expr(f"substring(cast(text as binary), int(start) + 1, shiftright(strings, {_OFFSET_BITS}) + {length - 1})")
