@@ -3,8 +3,9 @@
 Windows of an item's words are sets of positioned shingles. One scan of the documents finds every occurrence of any
 benchmark shingle; the occurrences give each shingle's frequency, which orders the shingles by rarity. To occur, a
 window needs all of its shingles, so its necessary prefix is its rarest one: occurrences of that shingle are the
-candidates. A candidate must start at or behind the document's first word and end by its last, and is verified by
-the exact places of all its shingles. Only built-in column code is used; shingles are compared as text, not by hash.
+candidates. The prefix narrows what is verified, not the scan, whose join takes every benchmark shingle. A candidate must
+not start before the document's first word, and is verified by the exact places of all its shingles; that these end by
+the document's last word follows from it. Only built-in column code is used; shingles are compared as text, not by hash.
 """
 
 from __future__ import annotations
