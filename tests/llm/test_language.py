@@ -72,3 +72,20 @@ def test_accuracy_on_driver_documents(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     found = language_id.identify(documents, language_id.fit(documents)).join(documents.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert np.mean([r["lang"] == r["lang_pred"] for r in found]) > 0.95
+
+
+def test_a_rare_language_is_in_the_sample(spark):
+    dice = random.Random(7)
+    word = lambda lang: "".join(dice.choice(SYLLABLES[lang]) for _ in range(3))
+    rows = [(k, " ".join(word("aa") for _ in range(15)), "aa") for k in range(6000)]
+    rows += [(9000 + k, " ".join(word("bb") for _ in range(15)), "bb") for k in range(60)]
+    rows += [(9500 + k, " ".join(word("cc") for _ in range(15)), "cc") for k in range(4) if zlib.crc32(str(9500 + k).encode()) % 5]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.fit(docs, sample_docs=240)
+    assert model.languages == ["aa", "bb", "cc"]
+    hashed = docs.selectExpr("lang", "xxhash64(doc_id) as hash", "xxhash64(text) as tie")
+    sampled = [r["lang"] for r in language_id.sampled_keys(hashed, 240).collect()]
+    assert len(sampled) == 240 and sampled.count("bb") >= 20 and sampled.count("cc") == sum(r[2] == "cc" for r in rows)
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(docs, model).collect()}
+    assert np.mean([found[i] == lang for i, _, lang in rows if lang == "bb"]) > 0.9
+    assert np.mean([found[i] == lang for i, _, lang in rows if lang == "aa"]) > 0.9

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.llm import pretokens
@@ -20,7 +20,7 @@ from touchline.llm import pretokens
 FOLDS = 5
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 14
-SAMPLE_DOCS = 4000  # the most documents that the weights are trained on; smaller hashes of ids first
+SAMPLE_DOCS = 4000  # the most documents that the weights are trained on; some of each language, else smaller hashes of ids first
 EPOCHS = 5
 BATCH = 32
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.002, 0.0002
@@ -144,11 +144,31 @@ def calibrate(model: Model, samples: list[tuple[np.ndarray, np.ndarray, int]]) -
     model.temperature = float(np.exp((low + high) / 2))
 
 
+def sampled_keys(hashed: DataFrame, sample_docs: int) -> DataFrame:
+    """(lang, hash, tie) of the rows to train on, `sample_docs` at most: a quarter of them dealt out evenly to all languages,
+    those with the smallest hashes first, the rest to the smallest hashes of all. Of more languages than rows the most
+    frequent ones have one."""
+    keys, order = ["lang", "hash", "tie"], ["hash", "lang", "tie"]
+    frequent = hashed.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample_docs).select("lang")
+    languages = [r[0] for r in frequent.collect()]
+    quota = max(1, sample_docs // (4 * max(1, len(languages))))
+    own = hashed.select(*keys).distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "tie"))
+    each = own.join(F.broadcast(hashed.sparkSession.createDataFrame([(x,) for x in languages], "lang string")), "lang", "left_semi")
+    each = each.withColumn("_place", place).where(F.col("_place") <= quota).select(*order).collect()  # sample_docs rows at most
+    chosen = dict.fromkeys(map(tuple, each))
+    for row in own.orderBy(*order).limit(sample_docs).select(*order).collect():
+        if len(chosen) >= sample_docs:
+            break
+        chosen[tuple(row)] = None
+    return hashed.sparkSession.createDataFrame([(lang, h, tie) for h, lang, tie in chosen], "lang string, hash bigint, tie bigint")
+
+
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """A model of the documents outside the held-out fold whose language is known, or None without any.
 
-    Document frequencies cover all of them. The weights see at most `sample_docs`, those with the smallest hashes of
-    their ids; so the driver holds that many sparse vectors and one dense table, whatever the corpus.
+    Document frequencies cover all of them. The weights see at most `sample_docs`, some of each language and
+    else those with the smallest hashes of their ids; so the driver holds that many sparse vectors and one dense table, whatever the corpus.
     """
     learn = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
 
@@ -182,17 +202,18 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
             )
 
     hashed = learn.select("text", "lang", F.xxhash64("doc_id").alias("hash"), F.xxhash64("text").alias("tie"))
-    # Only ids and hashes are sorted; the texts come by the last hash that fits.
-    edge = hashed.select("hash").orderBy("hash").limit(sample_docs).agg(F.max("hash")).first()[0]
-    sample = hashed.where(F.col("hash") <= edge).orderBy("hash", "lang", "tie").limit(sample_docs).select("text", "lang", "hash")
+    sample = hashed.join(F.broadcast(sampled_keys(hashed, sample_docs)), ["lang", "hash", "tie"]).dropDuplicates(["lang", "hash", "tie"])
+    sample = sample.select("text", "lang", "hash")
     rows = sample.mapInArrow(vectors, "lang string, hash bigint, buckets binary, counts binary").collect()
     rows.sort(key=lambda r: (r["hash"], r["lang"], r["buckets"]))
     languages = sorted({r["lang"] for r in rows})
     samples = [
         (np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], "<i4"), languages.index(r["lang"])) for r in rows
     ]
-    unseen = samples[::6] if len(samples) >= 60 else []
-    seen = [s for k, s in enumerate(samples) if k % 6] if unseen else samples
+    trained = {y for k, (_, _, y) in enumerate(samples) if k % 6}  # a language needs a row that the weights see
+    apart = [len(samples) >= 60 and k % 6 == 0 and s[2] in trained for k, s in enumerate(samples)]
+    unseen = [s for s, out in zip(samples, apart) if out]
+    seen = [s for s, out in zip(samples, apart) if not out]
     model = train_ftrl(seen, idf, languages)
     calibrate(model, unseen)
     return model
