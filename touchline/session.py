@@ -75,6 +75,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_scratch_base(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """From now on each execution's shuffle files go when it ends, not when the driver's collector finds them unused.
+
+    A later task that misses them makes Spark repeat their stage, as after the loss of an executor.
+    """
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(f"{_scratch_base(spark)}/checkpoints")
