@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.llm import (
-    bpe_automaton, decontamination, language_id, parity_join, quality_rules, secret_scan, suffix_dedup, token_counts,
+    bpe_automaton, conversation_repair, decontamination, language_id, parity_join, quality_rules, secret_scan, suffix_dedup, token_counts,
     token_output, warc,
 )
 from touchline.llm.oracle import ORACLE_SQL  # noqa: F401
@@ -62,10 +62,14 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.near_components(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_token_counts, op2_suffix_dedup, op3_secret_scan, op4_language_id, op5_token_output, op6_quality_rules, op7_bpe_automaton, op8_warc, op9_decontamination,
-        op10_parity_join,
+        op10_parity_join, op11_conversation_repair,
     )
 }

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
-from touchline.session import scratch_path
+from touchline.session import free_shuffles, scratch_path
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -24,11 +29,29 @@ def tokenizer_file(name: str) -> str:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """df written to the shared scratch folder and read back: its lineage ends there, so a lost executor repeats little."""
+    free_shuffles(df.sparkSession)  # what is stored needs its shuffles no more
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def arrow_rows(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[tuple]:
+    """The rows of Arrow batches as tuples, so many of them as Python values at a time."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield from zip(*[c.to_pylist() for c in batch.slice(begin, rows).columns])
+
+
+def batches_of(
+    rows: Iterable[tuple], kinds: list[pa.DataType | None], names: list[str], own: DataType | None = None, size: int = 500
+) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of so many rows each; a kind that is None is that of the Spark type `own`."""
+    kinds = [to_arrow_type(own) if k is None else k for k in kinds]
+    rows = iter(rows)
+    while some := list(islice(rows, size)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some), kinds)], names)
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """The smallest reachable node of each node in `edges` (a, b: bigint), as (node, component).
 
