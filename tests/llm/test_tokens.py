@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from touchline.llm import bpe_automaton, pretokens, token_counts, token_output
+from touchline.llm import bpe_automaton, parity_join, pretokens, token_counts, token_output
 from touchline.llm.support import BYTE_BPE, WORD_BPE, tokenizer_file
 
 ODD = [
@@ -61,6 +61,42 @@ def test_pieces_do_not_change_results(documents, library, monkeypatch):
             assert found == [text[a:b] for _, (a, b) in expect]
 
 
+def rule_words():
+    """Long words that alternate two letters by the parity of the bits of their places, and their complements.
+
+    Hashes that are polynomials modulo a power of two cannot tell the two apart."""
+    found = []
+    for a, b in ("ez", "ab", "oé"):
+        for size in (1024, 4096):
+            found += ["".join((x, y)[k.bit_count() & 1] for k in range(size)) for x, y in ((a, b), (b, a))]
+    return found
+
+
+def test_words_of_one_polynomial_are_told_apart(spark, documents, library, tmp_path):
+    words = rule_words()
+    counts = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(documents(words)).collect()}
+    coded = {r["doc_id"]: r["ids"] for r in bpe_automaton.encode_documents(documents(words)).collect()}
+    token_output.write_token_store(documents(words), str(tmp_path / "store"))
+    stored = {r["doc_id"]: r["ids"] for r in token_output.read_token_store(spark, str(tmp_path / "store")).collect()}
+    for k, word in enumerate(words):
+        ids = library[WORD_BPE].encode(word, add_special_tokens=False).ids
+        assert counts[k] == len(ids) and coded[k] == ids
+        assert stored[k] == [*library[BYTE_BPE].encode(word, add_special_tokens=False).ids, 0]
+    sets = parity_join.near_components(documents(words)).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in sets)
+
+
+def test_a_shared_first_hash_does_not_matter():
+    memo = pretokens.WordMemo(lambda words: list(words))
+    joined, starts = "aabbccaa", np.array([0, 2, 4, 6])
+    both = np.array([[7, 7, 7, 7], [1, 2, 3, 1]], np.uint64)
+    for _ in range(2):
+        slots = memo.slots_of(joined, starts, starts + 2, both)
+        assert [memo.values[s] for s in slots] == ["aa", "bb", "cc", "aa"]
+    slots = memo.slots_of("dd", np.array([0]), np.array([2]), np.array([[7], [4]], np.uint64))
+    assert memo.values[slots[0]] == "dd"
+
+
 def test_memo_starts_anew(library):
     memo = pretokens.WordMemo(len, 3)
     memo.encode = lambda words: [len(w) for w in words]

@@ -1,7 +1,7 @@
 """Texts to pre-tokens, many at a time, as numpy arrays.
 
 A batch of texts becomes one array of code points with a separator after each text. Class changes cut it into
-pre-tokens; a rolling 64-bit hash names each pre-token, so a word that occurs a thousand times is encoded once.
+pre-tokens; two independent 64-bit hashes name each pre-token, so a word that occurs a thousand times is encoded once.
 Texts are cut in pieces before white space that follows other text, which is always a border, so that a batch's memory
 does not depend on the longest text.
 """
@@ -31,9 +31,10 @@ def _class(code: int) -> int:
 
 
 class _Tables:
-    """Character classes and hash powers, made once a process and extended when needed."""
+    """Character classes, hash powers and multipliers, made once a process and extended when needed."""
 
     classes = np.empty(0, np.uint8)
+    places = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
     powers = np.ones(1, np.uint64)
     inverses = np.ones(1, np.uint64)
 
@@ -43,6 +44,14 @@ class _Tables:
             cls.classes = np.array([_class(c) for c in range(0x3000 if highest < 0x3000 else 0x110000)], np.uint8)
         return cls.classes
 
+    @classmethod
+    def places_to(cls, n: int, which: int) -> np.ndarray:
+        """Odd multipliers without any relation between them, one for each place in a word."""
+        if n > len(cls.places[which]):
+            numbers = np.arange(1 << max(10, n.bit_length()), dtype=np.uint64) + np.uint64(which << 40)
+            cls.places[which] = scrambled(scrambled(numbers) + np.uint64(_BASE)) | np.uint64(1)
+        return cls.places[which]
+
     @classmethod
     def powers_to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n > len(cls.powers):
@@ -103,7 +112,7 @@ def pieces(texts: list[str | None], limit: int = BATCH_CHARS) -> Iterator[list[t
 
 
 def cut(joined: str, keep_space: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and hashes of the pre-tokens of texts that are each followed by TEXT_END, and which are such ends.
+    """Starts, ends and both hashes of the pre-tokens of texts that are each followed by TEXT_END, and which are such ends.
 
     keep_space=False: contractions, letter runs, single digits, runs of anything else; white space vanishes.
     keep_space=True: digit runs stay whole and a blank joins the run behind it; other white space is a run of its own.
@@ -150,7 +159,28 @@ def cut(joined: str, keep_space: bool) -> tuple[np.ndarray, np.ndarray, np.ndarr
         keep &= kind != SPACE
         starts, ends = starts[keep], ends[keep]
 
-    return starts, ends, run_hashes(codes, starts, ends), codes[starts] == ord(TEXT_END)
+    hashes = np.stack([word_hashes(codes, starts, ends, which) for which in (0, 1)])
+    return starts, ends, hashes, codes[starts] == ord(TEXT_END)
+
+
+def word_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """A 64-bit hash of each run of codes; runs do not overlap. `which` (0 or 1) picks one of two independent hashes.
+
+    Each code, mixed, is multiplied by its place's own number. Unlike powers of a base these have no relation by which the
+    places of two letters could cancel out, as they do in long words that alternate by a rule.
+    """
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    sizes = ends - starts
+    mixed = codes.astype(np.uint64) * np.uint64(_MIX)
+    mixed ^= mixed >> np.uint64(29)
+    places = _Tables.places_to(int(sizes.max()), which)
+    at = np.arange(len(codes))
+    at[starts[0] :] -= np.repeat(starts, np.diff(np.append(starts, len(codes))))
+    np.minimum(at, len(places) - 1, out=at)  # what lies between the runs is left out of their sums
+    mixed *= places[at]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
+    return scrambled(scrambled(sums[ends] - sums[starts]) + sizes.astype(np.uint64))
 
 
 def run_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -172,10 +202,9 @@ def scrambled(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def blank_word_hashes(texts: list[str | None]) -> list[np.ndarray]:
-    """Hashes of each text's runs of anything but blank, tab, line feed, vertical tab, form feed and carriage return,
-    with A-Z lower-cased."""
-    found: list[list[np.ndarray]] = [[] for _ in texts]
+def blank_word_pieces(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
+    """(text number, hashes) of each text's runs of anything but blank, tab, line feed, vertical tab, form feed and carriage
+    return, with A-Z lower-cased. A long text comes in several pieces, in order; every text has one at least."""
     for batch in pieces(texts):
         joined = "".join(text + TEXT_END for _, text in batch)
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
@@ -184,33 +213,43 @@ def blank_word_hashes(texts: list[str | None]) -> list[np.ndarray]:
         apart = mark | (codes == 32) | ((codes >= 9) & (codes <= 13))
         edges = np.diff(np.concatenate([[True], apart, [True]]).astype(np.int8))
         starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
-        hashes = run_hashes(codes, starts, ends)
+        hashes = word_hashes(codes, starts, ends)
         bounds = np.concatenate([[0], np.searchsorted(starts, np.flatnonzero(mark))])
         for (k, _), begin, end in zip(batch, bounds[:-1], bounds[1:]):
-            found[k].append(hashes[begin:end])
+            yield k, hashes[begin:end]
+
+
+def blank_word_hashes(texts: list[str | None]) -> list[np.ndarray]:
+    """The hashes of each whole text's words, see blank_word_pieces."""
+    found: list[list[np.ndarray]] = [[] for _ in texts]
+    for k, hashes in blank_word_pieces(texts):
+        found[k].append(hashes)
     return [np.concatenate(x) if len(x) > 1 else x[0] for x in found]
 
 
 class WordMemo:
-    """Results by word hash. `encode` gets new distinct words and returns a list or array of results in their order.
+    """Results by word. `encode` gets new distinct words and returns a list or array of results in their order.
 
-    The first `limit` words stay; as many again are kept until that room is full. It is a matter of time and memory only.
+    Words are looked up by one hash and told apart by the other; a word that shares only the first with another one is
+    encoded by itself. The first `limit` words stay; as many again are kept until that room is full. It is a matter of time
+    and memory only.
     """
 
     def __init__(self, encode: Callable[[list[str]], list], limit: int = 300_000):
         self.encode, self.limit = encode, limit
-        self.keys, self.slots, self.values = np.empty(0, np.uint64), np.empty(0, np.int64), []
+        self.keys, self.others, self.slots, self.values = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), []
 
     def _forget(self) -> None:
         """Back to the first words that came, common ones among them."""
         first = self.slots < self.limit
-        self.keys, self.slots = self.keys[first], self.slots[first]
+        self.keys, self.others, self.slots = self.keys[first], self.others[first], self.slots[first]
         del self.values[self.limit :]
 
     def slots_of(self, joined: str, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        """The slot in `values` of each word, valid until the next call."""
-        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) > 2 * self.limit:
+        """The slot in `values` of each word, valid until the next call; `hashes` holds both hashes of each."""
+        keys, others = hashes
+        distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        if len(self.keys) > 2 * self.limit or len(self.values) > 4 * self.limit:
             self._forget()
         at = np.searchsorted(self.keys, distinct)
         known = np.zeros(len(distinct), bool)
@@ -218,14 +257,25 @@ class WordMemo:
         known[inside] = self.keys[at[inside]] == distinct[inside]
         slots = np.empty(len(distinct), np.int64)
         slots[known] = self.slots[at[known]]
+        named = others[first]
+        named[known] = self.others[at[known]]
         new = np.flatnonzero(~known)
         if len(new):
-            words = [joined[s:e] for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
-            slots[new] = np.arange(len(self.values), len(self.values) + len(new))
-            self.values.extend(self.encode(words))
+            slots[new] = self._encoded(joined, starts[first[new]], ends[first[new]])
             self.keys = np.insert(self.keys, at[new], distinct[new])
+            self.others = np.insert(self.others, at[new], named[new])
             self.slots = np.insert(self.slots, at[new], slots[new])
-        return slots[inverse]
+        result = slots[inverse]
+        strange = np.flatnonzero(others != named[inverse])
+        if len(strange):
+            result[strange] = self._encoded(joined, starts[strange], ends[strange])
+        return result
+
+    def _encoded(self, joined: str, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """New slots with the results of these words."""
+        slots = np.arange(len(self.values), len(self.values) + len(starts))
+        self.values.extend(self.encode([joined[s:e] for s, e in zip(starts.tolist(), ends.tolist())]))
+        return slots
 
 
 _MEMOS: dict[tuple, WordMemo] = {}
@@ -262,4 +312,4 @@ def encoded(
         starts, ends, hashes, last = cut(joined, keep_space)
         words = ~last
         bounds = np.concatenate([[0], np.cumsum(words)[last]])
-        yield [k for k, _ in batch], memo.slots_of(joined, starts[words], ends[words], hashes[words]), bounds
+        yield [k for k, _ in batch], memo.slots_of(joined, starts[words], ends[words], hashes[:, words]), bounds

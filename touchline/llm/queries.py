@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import (
-    bpe_automaton, conversation_repair, decontamination, language_id, parity_join, prefix_trie, quality_rules, secret_scan, suffix_dedup, token_counts,
+    bpe_automaton, conversation_repair, decontamination, katz, language_id, parity_join, prefix_trie, quality_rules, secret_scan, suffix_dedup, token_counts,
     token_output, warc,
 )
 from touchline.llm.oracle import ORACLE_SQL  # noqa: F401
@@ -67,6 +67,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op12_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learns = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0
+    return katz.katz_scores(table(spark, sf_dir, "documents"), learns)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = F.col("conv_id")
     head = F.crc32(conv.cast("string").cast("binary")) % 6
@@ -77,6 +82,6 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_token_counts, op2_suffix_dedup, op3_secret_scan, op4_language_id, op5_token_output, op6_quality_rules, op7_bpe_automaton, op8_warc, op9_decontamination,
-        op10_parity_join, op11_conversation_repair, op13_prefix_trie,
+        op10_parity_join, op11_conversation_repair, op12_katz_scores, op13_prefix_trie,
     )
 }
