@@ -34,7 +34,7 @@ def test_stages_keep_and_drop(stages, spark):
     labels = {r["doc_id"]: r["quality"] for r in table(spark, SF, "labels").collect()}
     assert all(i in good for i, q in labels.items() if q == 1 and not surface(before[i])[-1])
     one = texts(stages["near duplicates"])
-    assert set(one) == {c for _, c in near_components(sorted(good.items())).values()}
+    assert set(one) == first_of_each(sorted(good.items()))
     items = [tuple(r) for r in table(spark, SF, "benchmark").select("item_id", "text").collect()]
     clean = texts(stages["decontamination"])
     assert set(clean) == {i for i, t in one.items() if not contaminated(t, items)[-1]}
@@ -94,24 +94,6 @@ def test_near_duplicates_are_five_words_at_four_fifths(documents, spark):
     assert kept == first_of_each(rows) and kept != {c for _, c in near_components(rows).values()}
 
 
-def test_stages_after_near_duplicates(stages, spark):
-    """As test_stages_keep_and_drop from its second stage on, by what the corpus calls a near duplicate."""
-    one = texts(stages["near duplicates"])
-    assert set(one) == first_of_each(sorted(texts(stages["quality rules"]).items()))
-    items = [tuple(r) for r in table(spark, SF, "benchmark").select("item_id", "text").collect()]
-    clean = texts(stages["decontamination"])
-    assert set(clean) == {i for i, t in one.items() if not contaminated(t, items)[-1]}
-    redacted = texts(stages["secret scan"])
-    assert set(redacted) == set(clean)
-    for i, text in redacted.items():
-        assert sum(base_secrets(text)[:3]) == 0
-        assert text == clean[i] or "[SECRET]" in text
-    library = Tokenizer.from_file(tokenizer_file(WORD_BPE))
-    assert {r["doc_id"]: r["ids"] for r in stages["bpe encoding"]} == {
-        i: library.encode(t, add_special_tokens=False).ids for i, t in redacted.items()
-    }
-
-
 def test_texts_of_one_id_are_told_apart(documents, spark):
     a, b, c, d = (" ".join(f"{name}{k}" for k in range(60)) for name in "abcd")
     rows = [(1, a), (9, a), (9, b), (7, c), (7, d), (8, d), (3, b), (4, c + " more"), (7, c), (None, a), (6, ""), (6, ""), (5, None)]

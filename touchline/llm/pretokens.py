@@ -159,28 +159,31 @@ def cut(joined: str, keep_space: bool) -> tuple[np.ndarray, np.ndarray, np.ndarr
         keep &= kind != SPACE
         starts, ends = starts[keep], ends[keep]
 
-    hashes = np.stack([word_hashes(codes, starts, ends, which) for which in (0, 1)])
-    return starts, ends, hashes, codes[starts] == ord(TEXT_END)
+    return starts, ends, word_hashes(codes, starts, ends, 2), codes[starts] == ord(TEXT_END)
 
 
-def word_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """A 64-bit hash of each run of codes; runs do not overlap. `which` (0 or 1) picks one of two independent hashes.
+def word_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, number: int = 1) -> np.ndarray:
+    """`number` (1 or 2) independent 64-bit hashes of each run of codes, as rows; runs do not overlap.
 
     Each code, mixed, is multiplied by its place's own number. Unlike powers of a base these have no relation by which the
     places of two letters could cancel out, as they do in long words that alternate by a rule.
     """
     if not len(starts):
-        return np.empty(0, np.uint64)
+        return np.empty((number, 0), np.uint64)
     sizes = ends - starts
-    mixed = codes.astype(np.uint64) * np.uint64(_MIX)
+    mixed = codes.astype(np.uint64)
+    mixed *= np.uint64(_MIX)
     mixed ^= mixed >> np.uint64(29)
-    places = _Tables.places_to(int(sizes.max()), which)
-    at = np.arange(len(codes))
-    at[starts[0] :] -= np.repeat(starts, np.diff(np.append(starts, len(codes))))
-    np.minimum(at, len(places) - 1, out=at)  # what lies between the runs is left out of their sums
-    mixed *= places[at]
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
-    return scrambled(scrambled(sums[ends] - sums[starts]) + sizes.astype(np.uint64))
+    at = np.arange(len(codes), dtype=np.int32)
+    at[starts[0] :] -= np.repeat(starts.astype(np.int32), np.diff(np.append(starts, len(codes))))
+    longest = int(sizes.max())
+    np.minimum(at, longest, out=at)  # what lies between the runs is left out of their sums
+    found = np.empty((number, len(starts)), np.uint64)
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    for which in range(number):
+        np.cumsum(mixed * _Tables.places_to(longest + 1, which)[at], out=sums[1:])
+        found[which] = scrambled(scrambled(sums[ends] - sums[starts]) + sizes.astype(np.uint64))
+    return found
 
 
 def run_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -213,7 +216,7 @@ def blank_word_pieces(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray
         apart = mark | (codes == 32) | ((codes >= 9) & (codes <= 13))
         edges = np.diff(np.concatenate([[True], apart, [True]]).astype(np.int8))
         starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
-        hashes = word_hashes(codes, starts, ends)
+        hashes = word_hashes(codes, starts, ends)[0]
         bounds = np.concatenate([[0], np.searchsorted(starts, np.flatnonzero(mark))])
         for (k, _), begin, end in zip(batch, bounds[:-1], bounds[1:]):
             yield k, hashes[begin:end]

@@ -14,6 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
 from touchline.session import free_shuffles, scratch_path
+from touchline.sinks.lake import remove_paths
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -32,7 +33,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     free_shuffles(df.sparkSession)  # what is stored needs its shuffles no more
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more, also not the result to come."""
+    for df in tables:
+        remove_paths(df.sparkSession, [df.stored_at])
+
+
+def unused(name: str, *tables: DataFrame) -> str:
+    """A column name that none of the tables has, in any spelling."""
+    taken = {c.lower() for df in tables for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def arrow_rows(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[tuple]:
@@ -67,6 +84,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     roots = stored(nodes, label)
     while not links.isEmpty():
         # The larger end of each edge takes the smallest neighbour as parent: parents are smaller, so no cycle forms.
+        used = [links, roots]
         parent = stored(links.groupBy("hi").agg(F.min("lo").alias("up")), label)
         while True:  # pointer jumping: parents of parents until all of them are roots
             above = parent.select(F.col("hi").alias("up"), F.col("up").alias("top"))
@@ -74,6 +92,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
                 parent.join(above, "up", "left").select("hi", F.coalesce("top", "up").alias("up"), F.col("top").isNotNull().alias("moved")),
                 label,
             )
+            used += [parent] if hasattr(parent, "stored_at") else []
+            used.append(jumped)
             parent = jumped.select("hi", "up")
             if jumped.where("moved").isEmpty():
                 break
@@ -85,4 +105,5 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             F.coalesce("lo_up", "lo").alias("x"), F.coalesce("hi_up", "hi").alias("y")
         )
         links = stored(ends.where("x <> y").select(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).distinct(), label)
+        dropped(*used)
     return roots.select("node", F.col("root").alias("component"))
