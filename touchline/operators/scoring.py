@@ -11,7 +11,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 
 from touchline import fixed
 from touchline.functions.match import outcome_label
+from touchline.operators.boosting import SoftmaxTrees, fit_softmax
 from touchline.operators.enrich import complete_for_scoring
 from touchline.operators.keyed import newest_per_key
 from touchline.operators.league import distinct_teams
-from touchline.session import ensure_checkpoint_dir
 from touchline.sinks.merge import append_counted
 from touchline.sources.lake import read_table_or_none
 
@@ -73,26 +73,11 @@ def build_features(matches: DataFrame, encoders: StringIndexerModel | None = Non
     return _feature_columns().transform(coded).select("match_id", *FEATURES, "label")
 
 
-def _boosted_stages(rounds: int, depth: int, rate: float, seed: int) -> list:
-    """One boosted binary classifier per class; MLlib's boosting has no multi-class loss."""
-    stages = []
-    for k in _CLASSES:
-        stages.append(SQLTransformer(statement=f"SELECT *, CAST(label = {k} AS DOUBLE) AS is_{k} FROM __THIS__"))
-        trees = GBTClassifier(
-            labelCol=f"is_{k}", featuresCol="features", predictionCol=f"pick_{k}",
-            maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed,
-        )
-        stages.append(trees.setRawPredictionCol(f"margin_{k}").setProbabilityCol(f"share_{k}"))
-    return stages
-
-
 def _class_probabilities(scored: DataFrame) -> list[Column]:
     """Probabilities of away win, draw and home win, summing to one."""
-    if "probability" in scored.columns:
-        return [vector_to_array("probability")[k] for k in _CLASSES]
-    shares = [vector_to_array(f"share_{k}")[1] for k in _CLASSES]
-    total = shares[0] + shares[1] + shares[2]
-    return [share / total for share in shares]
+    if "shares" in scored.columns:
+        return [C("shares")[k] for k in _CLASSES]
+    return [vector_to_array("probability")[k] for k in _CLASSES]
 
 
 def score(model: PipelineModel, matches: DataFrame) -> DataFrame:
@@ -132,25 +117,23 @@ def fit(
     rate: float = fixed.LEARNING_RATE,
     seed: int = 7,
 ) -> PipelineModel:
-    """Fit encoders and trees; `algorithm` is `boosted` or the cheaper `forest`.
+    """Fit encoders and trees; `algorithm` is `boosted`, one ensemble for all classes, or the cheaper `forest`.
 
-    The trees pass over their input many times, so only the assembled features are kept for them, on disk where
-    memory is short.
+    The seed matters to the forest alone.
     """
     complete = complete_for_scoring(matches)
-    front = PipelineModel(
-        [fit_encoders(complete), _feature_columns(), VectorAssembler(inputCols=FEATURES, outputCol="features")]
-    )
+    front = PipelineModel([fit_encoders(complete), _feature_columns()])
+    prepared = front.transform(complete).select(*FEATURES, "label")
     if algorithm == "boosted":
-        trees = _boosted_stages(rounds, depth, rate, seed)
-    elif algorithm == "forest":
-        trees = [RandomForestClassifier(labelCol="label", numTrees=rounds, maxDepth=depth, seed=seed)]
-    else:
+        ensemble = fit_softmax(prepared, FEATURES, "label", len(_CLASSES), rounds, depth, rate)
+        return PipelineModel([*front.stages, SoftmaxTrees(inputCols=FEATURES, trees=ensemble.to_json())])
+    if algorithm != "forest":
         raise ValueError(f"unknown algorithm {algorithm!r}")
-    ensure_checkpoint_dir(matches.sparkSession)  # boosting cuts its lineage there every few rounds
-    prepared = front.transform(complete).select("features", "label").persist()
+    forest = RandomForestClassifier(labelCol="label", numTrees=rounds, maxDepth=depth, seed=seed)
+    prepared = prepared.persist()  # the trees pass over it many times
     try:
-        return PipelineModel([*front.stages, *Pipeline(stages=trees).fit(prepared).stages])
+        fitted = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), forest]).fit(prepared)
+        return PipelineModel([*front.stages, *fitted.stages])
     finally:
         prepared.unpersist()
 
