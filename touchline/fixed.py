@@ -85,3 +85,7 @@ STALLED_RULES = [("KafkaOffsetCommitRateDropped", "kafka_consumergroup_current_o
 
 # Training defaults.
 BOOSTING_ROUNDS, TREE_DEPTH, LEARNING_RATE = 100, 4, 0.1
+
+# How long a drain may take, and why a message is turned away.
+DRAIN_SECONDS = 120
+MALFORMED, WITHOUT_KEY = "malformed", "without_key"

@@ -127,7 +127,12 @@ def merge_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sent.withColumn("home_goals", corrected).select(*schema.MATCHES.names, "seq")
 
 
-def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def placed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of `envelopes` with partition and offset, some of them without a key."""
+    return envelopes(spark, sf_dir, placed=True)
+
+
+def envelopes(spark: SparkSession, sf_dir: str, placed: bool = False) -> DataFrame:
     """Every match as a (key, value, timestamp) message; P matches are sent twice, the second time with a goal less,
     and some messages are broken."""
     k = C("k")
@@ -135,8 +140,9 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = match_base(spark, sf_dir).withColumn("delay", F.explode(times))
     early = ((C("status") == "P") & (C("delay") == 0)).cast("int")
     home_goals = F.when(k % 29 == 0, F.lit("n/a")).otherwise(_text(C("home_goals") + early))
+    key = F.when(k % 41 != 0, C("match_id")).otherwise(" ") if placed else C("match_id")
     body = F.struct(
-        "match_id", "season", "home_team", "away_team",
+        key.alias("match_id"), "season", "home_team", "away_team",
         home_goals.alias("home_goals"), _text(C("away_goals")).alias("away_goals"),
     )
     value = F.when(k % 23 == 0, F.lit("NOT JSON {")).otherwise(F.to_json(body))
@@ -144,6 +150,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(":", "season", "match_id").cast("binary").alias("key"),
         value.cast("binary").alias("value"),
         F.timestamp_seconds(k + C("delay")).alias("timestamp"),
+        *([(k % 4).cast("int").alias("partition"), (2 * k + (C("delay") > 0).cast("int")).cast("bigint").alias("offset")] if placed else []),
     )
 
 

@@ -27,6 +27,12 @@ keyed AS (
   FROM base JOIN nation h ON base.hn = h.n_nationkey JOIN nation a ON base.an = a.n_nationkey),
 matches AS (SELECT * EXCLUDE (k, status) FROM keyed)"""
 
+_SENT = """
+sent AS (
+  SELECT *, 2 * k + (delay > 0)::INT AS nr,
+         CASE WHEN k % 29 = 0 THEN 'n/a' ELSE CAST(home_goals + (status = 'P' AND delay = 0)::INT AS VARCHAR) END AS goals
+  FROM (SELECT *, 0 AS delay FROM keyed UNION ALL SELECT *, 3600 FROM keyed WHERE status = 'P'))"""
+
 _DERIVED = """
   CASE WHEN home_goals > away_goals THEN 'home_win' WHEN away_goals > home_goals THEN 'away_win' ELSE 'draw' END
     AS result,
@@ -420,6 +426,21 @@ ORACLE_SQL: dict[str, str] = {
         "AS home_goals, away_goals, strftime(make_timestamp(k * 1000000), '%Y-%m-%d %H:%M:%S.%f') AS kafka_timestamp "
         "FROM keyed WHERE k % 23 <> 0",
     ),
+    "stream_rejects": _sql(
+        f"{_MATCHES}, {_SENT}",
+        "SELECT concat(k % 4, ':', nr) AS place, CASE WHEN k % 23 = 0 THEN 'malformed' ELSE 'without_key' END AS reason, "
+        "CASE WHEN k % 23 = 0 THEN 'NOT JSON {' ELSE CAST(json_object('match_id', ' ', 'season', season, 'home_team', home_team, "
+        "'away_team', away_team, 'home_goals', goals, 'away_goals', CAST(away_goals AS VARCHAR)) AS VARCHAR) END AS value, "
+        "strftime(make_timestamp((k + delay) * 1000000), '%Y-%m-%d %H:%M:%S.%f') AS kafka_timestamp, "
+        "CAST(k % 4 AS INT) AS kafka_partition, CAST(nr AS BIGINT) AS kafka_offset FROM sent WHERE k % 23 = 0 OR k % 41 = 0",
+    ),
+    "stream_counts": _sql(
+        f"{_MATCHES}, {_SENT}",
+        "SELECT run::BIGINT AS run, count(*) AS messages, count(*) FILTER (k % 23 = 0) AS malformed, "
+        "count(*) FILTER (k % 23 <> 0 AND k % 41 = 0) AS without_key, "
+        "count(DISTINCT match_id) FILTER (k % 23 <> 0 AND k % 41 <> 0 AND k % 2 = run) AS merged, 'target' AS ended "
+        "FROM sent JOIN (VALUES (0), (1)) AS runs(run) ON run = 1 OR k % 2 = 0 GROUP BY run",
+    ),
     "staging_upsert": _sql(
         _MATCHES,
         "SELECT match_id, season, home_team, away_team, CASE WHEN k % 29 <> 0 THEN home_goals END AS home_goals, away_goals, "

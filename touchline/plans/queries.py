@@ -18,7 +18,7 @@ from touchline.sinks.lake import write_matches, write_table
 from touchline.sinks.merge import merge_table, stage_messages
 from touchline.sources.csv import load_matches
 from touchline.sources.lake import read_lake
-from touchline.streaming.ingest import drain, parse_messages
+from touchline.streaming.ingest import Drained, drain, drain_until, parse_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 C = F.col
@@ -198,6 +198,32 @@ def stream_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(read_lake(spark, f"{base}/matches", schema.STREAMED))
 
 
+def _drained_twice(spark: SparkSession, sf_dir: str) -> tuple[str, list[Drained]]:
+    """Messages with their places, drained by partition in two runs, the second of which sees the first one's again."""
+    base = scratch_path(spark, "rejects")
+    placed = derived.placed_envelopes(spark, sf_dir)
+    runs = []
+    for run in (0, 1):
+        placed.filter(C("partition") % 2 == run).write.mode("append").parquet(f"{base}/messages")
+        stream = spark.readStream.schema(placed.schema).parquet(f"{base}/messages")
+        runs.append(drain_until(stream, f"{base}/matches", f"{base}/checkpoint-{run}", deadline_sec=None, rejects=f"{base}/rejects"))
+    return base, runs
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages that were turned away, with reason and place, each once."""
+    base, _ = _drained_twice(spark, sf_dir)
+    rejected = read_lake(spark, f"{base}/rejects", schema.REJECTED)
+    return portable(rejected.select("place", "reason", C("value").cast("string").alias("value"), "kafka_timestamp", "kafka_partition", "kafka_offset"))
+
+
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the two runs read, turned away and merged, as observed in the batches."""
+    _, runs = _drained_twice(spark, sf_dir)
+    rows = [(k, r.read, r.malformed, r.without_key, r.merged, r.ended) for k, r in enumerate(runs)]
+    return spark.createDataFrame(rows, "run BIGINT, messages BIGINT, malformed BIGINT, without_key BIGINT, merged BIGINT, ended STRING")
+
+
 def staging_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drained messages into the staging table, twice: the last message of a match wins."""
     path = scratch_path(spark, "staging")
@@ -317,6 +343,8 @@ QUERIES: dict[str, Query] = {
     "message_payload": message_payload,
     "parse_messages": parsed_messages,
     "stream_ingest_once": stream_ingest_once,
+    "stream_rejects": stream_rejects,
+    "stream_counts": stream_counts,
     "staging_upsert": staging_upsert,
     "unscored_matches": unscored_matches,
     "features": features,

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "STRING": T.StringType(), "DATE": T.DateType(), "INT": T.IntegerType(), "DOUBLE": T.DoubleType(),
-    "BIGINT": T.LongType(), "BOOLEAN": T.BooleanType(), "TIMESTAMP": T.TimestampType(),
+    "BIGINT": T.LongType(), "BOOLEAN": T.BooleanType(), "TIMESTAMP": T.TimestampType(), "BINARY": T.BinaryType(),
 }
 
 
@@ -54,6 +54,12 @@ STREAMED = _struct(
     "kafka_timestamp TIMESTAMP"
 )
 
+# The stored form: with each row the place of its message, so that a later batch can tell which of two came first.
+STREAM_TABLE = T.StructType([*STREAMED.fields, *_struct("kafka_partition INT, kafka_offset BIGINT").fields])
+REJECTED = _struct(
+    "place STRING, reason STRING, value BINARY, kafka_timestamp TIMESTAMP, kafka_partition INT, kafka_offset BIGINT"
+)
+
 PREDICTIONS = _struct(
     "match_id STRING, outcome INT, proba_away DOUBLE, proba_draw DOUBLE, proba_home DOUBLE, "
     "model_run_id STRING, predicted_at TIMESTAMP"

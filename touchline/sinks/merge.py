@@ -35,10 +35,10 @@ def merge_table(
 ) -> int:
     """Merge source rows into the table at `path`, creating it if absent; returns the number of rows added or changed.
 
-    `upsert` lets source rows win, `insert_only` lets stored rows win. With `update`, an upsert changes only those
+    `upsert` lets source rows win, `insert_only` lets stored rows win, or with `guard` the row that came first. With `update`, an upsert changes only those
     columns of a stored row and the others keep their stored values. Repeated keys in the source are reduced to the
-    newest (with `oldest`, the oldest) by `order_by` first; those columns need not be stored. A stored row that is
-    greater by the `guard` columns than the source's stays as it is. Rows equal to the stored ones are left out, so
+    newest (with `oldest`, the oldest) by `order_by` first; those columns need not be stored. In an upsert, a stored row
+    that is greater by the `guard` columns than the source's stays as it is. Rows equal to the stored ones are left out, so
     a repeated upsert writes nothing.
     """
     if mode not in ("upsert", "insert_only"):
@@ -66,8 +66,17 @@ def merge_table(
         # Only row groups whose key range meets the source's are read in search of matches; tables are written
         # sorted by key, so these are few when keys grow with time.
         reachable = target.filter(lead.between(seen["low"], seen["high"]))
-        if mode == "insert_only":
+        if mode == "insert_only" and not guard:
             return append_counted(unseen(newest, reachable, keys, probe), path, keys, partition_by)
+        if mode == "insert_only":
+            places = reachable.join(probe, list(keys), "left_semi").select(*keys, F.struct(*guard).alias("_old"))
+            judged = newest.join(places, list(keys), "left").withColumn("_earlier", F.struct(*guard) < F.col("_old"))
+            newest = judged.filter("_old IS NULL OR _earlier").select(*layout.names, F.col("_old").isNotNull().alias("_earlier"))
+            newest = newest.persist()
+            if newest.filter("_earlier").isEmpty():  # the common case: nothing stored is touched
+                return append_counted(newest.select(*layout.names), path, keys, partition_by)
+            newest, guard = newest.select(*layout.names), ()
+            probe = broadcast_if_small(newest.select(*keys))
         held = reachable.join(probe, list(keys), "left_semi").select(*layout.names).persist()
         try:
             return _upsert(newest, held, target, path, layout, keys, partition_by, update, guard)
@@ -154,12 +163,14 @@ def message_order(columns: Sequence[str]) -> list[str]:
 
 
 def stage_messages(messages: DataFrame, path: str, layout: T.StructType, keys: Sequence[str] = ("match_id",)) -> int:
-    """Upsert drained messages into the staging table, stamped with the time of ingest; the last message of a key wins."""
+    """Upsert drained messages into the staging table, stamped with the time of ingest.
+
+    The last message of a key wins, also over one that is drained after it: the place of a row's message is stored."""
     order = message_order(messages.columns)
-    extra = [c for c in order if c not in layout.names]
-    stamped = messages.select(*layout.names, *extra).withColumn("ingested_at", F.current_timestamp())
-    stored = T.StructType([*layout.fields, T.StructField("ingested_at", T.TimestampType())])
-    return merge_table(stamped, path, stored, keys, order_by=[*order, "ingested_at"])
+    extra = [messages.schema[c] for c in order if c not in layout.names]
+    stored = T.StructType([*layout.fields, *extra, T.StructField("ingested_at", T.TimestampType())])
+    stamped = messages.select(*layout.names, *[f.name for f in extra]).withColumn("ingested_at", F.current_timestamp())
+    return merge_table(stamped, path, stored, keys, order_by=[*order, "ingested_at"], guard=order)
 
 
 def merge_into_catalog_table(
