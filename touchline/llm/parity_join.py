@@ -9,7 +9,7 @@ k = 1, a part has three words, of which at most one differs, and documents are l
 form bands so that linked documents lie in one band or in neighbouring ones, and each band sets its number of parts.
 
 Documents with equal sets are one from the start. Equal keys meet in buckets; buckets of the same members are one. There
-sketches folded to about two bits a shingle are compared, and only a spanning forest of the pairs that may be linked
+sketches folded to about eight bits a shingle are compared, and only a spanning forest of the pairs that may be linked
 leaves a bucket, never all pairs. The forest's edges are verified on the exact sets. Where an edge fails, its bucket
 goes through further rounds: each gives, for each member, the next few partners that may be linked and lie in another
 component by then, so no link is lost. A bucket of many members is dealt out as pairs of blocks of bounded size.
@@ -33,7 +33,7 @@ SHINGLE_WORDS = 3
 PERCENT = 90
 BLOCK = 2048  # members of a bucket that one task compares with another such block
 FOLD_WORDS = 512  # at most so many sketch words are compared in buckets: sketches are folded by XOR, which keeps the bound
-FOLD_BITS = 2  # for each shingle, so that sketches of unrelated sets remain further apart than those of linked ones
+FOLD_BITS = 8  # for each shingle, so that few pairs look linked by their sketches that are not
 FULL_WORD = 8  # shingles for each sketch word at least, or parts of three words are taken
 OPEN = (-(1 << 63), -(1 << 63))  # no pair, but a sign that a bucket has more
 _SALTS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -181,7 +181,7 @@ def _forest(bucket: dict[str, np.ndarray], percent: int) -> list[tuple[int, int]
 
 
 def _further(bucket: dict[str, np.ndarray], percent: int, turn: int) -> list[tuple[int, int]]:
-    """Each member's partners number 2^turn - 1 to 2^(turn + 1) - 2 that may be linked, where they lie in other components.
+    """Each member's partners number 8^turn - 1 to 8^(turn + 1) - 2 that may be linked, where they lie in other components.
 
     The members' order alone numbers the partners, so that each is met in one turn. OPEN tells that more are to come."""
     reps, sizes, sketches, upper, parts, found = *(bucket[k] for k in ("rep", "n", "words", "upper", "component")), []
@@ -191,7 +191,7 @@ def _further(bucket: dict[str, np.ndarray], percent: int, turn: int) -> list[tup
         others = others[upper[others] | upper[one]]
         others = others[_near(sketches, sizes, one, others, percent)]
         apart = parts[others] != parts[one]
-        begin, end = (1 << turn) - 1, (2 << turn) - 1
+        begin, end = (1 << 3 * turn) - 1, (8 << 3 * turn) - 1
         found += [(int(reps[one]), int(reps[k])) for k in others[begin:end][apart[begin:end]]]
         more |= bool(apart[end:].any())
     return found + [OPEN] * more
@@ -264,6 +264,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     return tested
 
 
+def _in_blocks(members: DataFrame, block: int) -> DataFrame:
+    """(key, i, j, rep, upper, component): the rows of a bucket of so many `members`, once for each pair of its blocks."""
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    dealt = members.withColumn("mine", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return dealt.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "upper", "component")
+
+
 def _linked(docs: DataFrame, size: int, percent: int, block: int, bits: int) -> tuple[DataFrame, DataFrame]:
     """Of documents (rep, text) with unique ids: (rep, n_shingles), and edges (a, b) that connect each component."""
     described = stored(_described(docs, size, percent, bits), "described")
@@ -280,14 +288,8 @@ def _linked(docs: DataFrame, size: int, percent: int, block: int, bits: int) ->
     alike = shared.groupBy("key").agg(F.count("*").alias("members"), *sums).groupBy("members", "h0", "h1", "h2").agg(F.min("key").alias("key"))
     slim = stored(shared.join(alike.select("key", "members"), "key"), "buckets")
     dropped(met, shared)
-    blocks = F.ceil(F.col("members") / block).cast("int")
     sketches = described.select("rep", "n", "low", "high")
-    rows = (
-        slim.withColumn("mine", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "upper")
-    )
-    forest = stored(_bucket_pairs(rows.withColumn("component", F.col("rep")), sketches, percent), "forest")
+    forest = stored(_bucket_pairs(_in_blocks(slim.withColumn("component", F.col("rep")), block), sketches, percent), "forest")
     tested = _verified(forest.where("a <> b").select("a", "b").distinct(), docs, size, percent)
     bucket = ["key", "i", "j"]
     unsettled = stored(forest.join(tested.where("not linked"), ["a", "b"], "left_semi").select(*bucket).distinct(), "unsettled")
@@ -295,10 +297,12 @@ def _linked(docs: DataFrame, size: int, percent: int, block: int, bits: int) ->
     turn = 0
     while not unsettled.isEmpty():
         known = components(tested.where("linked").select("a", "b"), "components-so-far").select(F.col("node").alias("rep"), "component")
-        again = rows.join(broadcast_if_small(unsettled), bucket, "left_semi").join(known, "rep", "left")
+        again = slim.join(broadcast_if_small(unsettled.select("key").distinct()), "key", "left_semi").join(known, "rep", "left")
         again = stored(again.withColumn("component", F.coalesce("component", "rep")), "again")
-        mixed = again.groupBy(*bucket).agg(F.min("component").alias("_x"), F.max("component").alias("_y")).where("_x <> _y")
-        found = stored(_bucket_pairs(again.join(mixed.select(*bucket), bucket, "left_semi"), sketches, percent, turn), "further")
+        mixed = again.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
+        rest = _in_blocks(again.join(broadcast_if_small(stored(mixed, "mixed")), "key", "left_semi"), block)
+        rest = rest.join(broadcast_if_small(unsettled), bucket, "left_semi")
+        found = stored(_bucket_pairs(rest, sketches, percent, turn), "further")
         dropped(again, unsettled)
         sign = (F.col("a") == OPEN[0]) & (F.col("b") == OPEN[1])
         unsettled = stored(found.where(sign).select(*bucket).distinct(), "unsettled")
