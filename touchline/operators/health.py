@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from touchline import fixed
 from touchline.functions import timing
-from touchline.operators.keyed import small_enough
+from touchline.operators.keyed import settled, small_enough
 
 C = F.col
 _MICROS = 1_000_000
@@ -334,7 +334,8 @@ def counter_growth(samples: DataFrame, window_sec: int, bucket_sec: int = 600) -
     previous = F.lag("value").over(inside)
     step = F.when(previous.isNull(), 0.0).when(C("value") < previous, C("value")).otherwise(C("value") - previous)
     so_far = Window.unboundedPreceding, Window.currentRow
-    running = instants.withColumn("step", step).withColumn("run", F.sum("step").over(inside.rowsBetween(*so_far)))
+    # Computed once: buckets, probes and the samples themselves are taken from it.
+    running = settled(instants.withColumn("step", step).withColumn("run", F.sum("step").over(inside.rowsBetween(*so_far))))
     begin = C("at") - span
 
     sample_buckets = running.groupBy(*series, "bucket").agg(
@@ -344,7 +345,7 @@ def counter_growth(samples: DataFrame, window_sec: int, bucket_sec: int = 600) -
     probe_buckets = running.select(*series, timing.time_bucket(begin, width).alias("bucket"), *empty)
     known = ["first", "last", "inside"]
     buckets = sample_buckets.union(probe_buckets).groupBy(*series, "bucket").agg(*[F.max(n).alias(n) for n in known])
-    stitched = _stitched(buckets)
+    stitched = settled(_stitched(settled(buckets)))
 
     # In each bucket the samples, and a probe for each window that begins there. Read backwards, the sample last passed
     # is the window's first one.

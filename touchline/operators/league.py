@@ -75,12 +75,48 @@ def standings_ranked(matches: DataFrame) -> DataFrame:
 
 def standings_mart(matches: DataFrame) -> DataFrame:
     """The mart variant: unique places on points, goal difference and goals for; the name settles what is left."""
-    table = _tally(team_rows(stage_matches(matches), C("result_type")), ["season", "team"])
+    return _placed(_tally(team_rows(stage_matches(matches), C("result_type")), ["season", "team"]))
+
+
+def _placed(table: DataFrame) -> DataFrame:
     order = Window.partitionBy("season").orderBy(F.desc("points"), F.desc("gd"), F.desc("gf"), "team")
     columns = ["season", "team", "played", "won", "drawn", "lost", "gf", "ga", "gd", "points"]
     return table.select(*columns, F.row_number().over(order).alias("position"))
 
 
+_TOTALS = ["played", "won", "drawn", "lost", "gf", "ga"]
+
+
+def standings_changes(changes: DataFrame) -> DataFrame:
+    """Signed totals per season and team of changed matches (old, new): what is new counts, what was old is taken off.
+
+    Matches without a season never count. An unknown number of goals counts as none.
+    """
+    signed = F.array(F.struct(C("new").alias("match"), F.lit(1).alias("sign")), F.struct(C("old").alias("match"), F.lit(-1).alias("sign")))
+    matches = changes.select(F.inline(signed)).filter("match.season IS NOT NULL AND match.match_id IS NOT NULL").select("match.*", "sign")
+    result = m.staged_result(C("home_goals"), C("away_goals"))
+    won, drawn = [_flag(result == r) for r in (fixed.HOME_WIN, fixed.AWAY_WIN)], _flag(result == fixed.DRAW)
+    none = F.lit(0)
+    home = {
+        "team": C("home_team"), "sign": C("sign"), "won": won[0], "drawn": drawn, "lost": won[1],
+        "gf": F.coalesce("home_goals", none), "ga": F.coalesce("away_goals", none),
+    }
+    away = {
+        "team": C("away_team"), "sign": C("sign"), "won": won[1], "drawn": drawn, "lost": won[0],
+        "gf": F.coalesce("away_goals", none), "ga": F.coalesce("home_goals", none),
+    }
+    rows = _both_sides(matches, home, away)
+    sums = [F.sum("sign").alias("played"), *[F.sum(C("sign") * C(c)).alias(c) for c in _TOTALS[1:]]]
+    return rows.groupBy("season", "team").agg(*sums)
+
+
+def standings_after(totals: DataFrame, changed: DataFrame) -> DataFrame:
+    """The mart rows of the seasons in `totals` after their signed changes: sums added, empty rows gone, places given anew."""
+    both = totals.select("season", "team", *_TOTALS).unionByName(changed.select("season", "team", *_TOTALS))
+    sums = both.groupBy("season", "team").agg(*[F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in _TOTALS]).filter("played > 0")
+    return _placed(sums.withColumn("gd", C("gf") - C("ga")).withColumn("points", C("won") * fixed.POINTS_WIN + C("drawn") * fixed.POINTS_DRAW))
+
+
 def new_seasons_only(matches: DataFrame, built: DataFrame) -> DataFrame:
     """Matches of seasons the mart does not hold yet.
 

@@ -315,6 +315,14 @@ ORACLE_SQL: dict[str, str] = {
     "standings_view_rank": _sql(_RANKED, "SELECT * FROM ranked"),
     "standings_mart": _sql(_MART, "SELECT * FROM mart"),
     "standings_incremental": _sql(_MART, "SELECT * FROM mart"),
+    "standings_from_changes": _sql(
+        _MART.replace(
+            "matches AS (SELECT * EXCLUDE (k, status) FROM keyed)",
+            "matches AS (SELECT * EXCLUDE (k, status) REPLACE (home_goals + (status = 'P')::INT AS home_goals) FROM keyed "
+            "WHERE status <> 'F' OR k % 7 <> 0)",
+        ),
+        "SELECT * FROM mart",
+    ),
     "standings_points_only": _sql(
         _SIDES,
         "SELECT season, team, (sum(win) * 3 + sum(draw))::BIGINT AS points, sum(gf)::BIGINT AS goals_for, "

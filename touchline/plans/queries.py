@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from touchline import fixed, schema
 from touchline.operators import health, keyed, league, quality, reports, scoring
 from touchline.operators.enrich import enrich, stage_matches, stage_matches_coded
-from touchline.plans import derived
+from touchline.plans import batch, derived
 from touchline.session import scratch_path
 from touchline.sinks.kafka import to_messages
 from touchline.sinks.lake import write_matches, write_table
@@ -176,6 +176,20 @@ def lake_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(read_lake(spark, table, schema.MATCHES))
 
 
+def standings_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart brought up to date by changes alone: corrections downwards, late matches, then matches removed."""
+    base = scratch_path(spark, "changes")
+    lake, mart = f"{base}/matches", f"{base}/mart"
+    higher = C("home_goals") + F.when(C("status") == "P", 3).otherwise(0)
+    known = derived.match_base(spark, sf_dir).filter(C("status").isin("F", "P")).withColumn("home_goals", higher.cast("int"))
+    write_table(known.select(*schema.MATCHES.names), lake, sort_by=["match_id"])
+    batch.refresh_standings(spark, lake, mart)
+    batch.merge_and_refresh(spark, derived.merge_source(spark, sf_dir), lake, mart, order_by=["seq"])
+    removed = derived.match_base(spark, sf_dir).filter((C("status") == "F") & (C("k") % 7 == 0))
+    batch.remove_and_refresh(spark, removed, lake, mart)
+    return portable(read_lake(spark, mart, schema.STANDINGS))
+
+
 # Messages.
 
 
@@ -342,6 +356,7 @@ QUERIES: dict[str, Query] = {
     "lake_merge_upsert": lake_merge_upsert,
     "message_payload": message_payload,
     "parse_messages": parsed_messages,
+    "standings_from_changes": standings_from_changes,
     "stream_ingest_once": stream_ingest_once,
     "stream_rejects": stream_rejects,
     "stream_counts": stream_counts,

@@ -32,6 +32,7 @@ def merge_table(
     update: Sequence[str] | None = None,
     oldest: bool = False,
     guard: Sequence[str] = (),
+    changes: str | None = None,
 ) -> int:
     """Merge source rows into the table at `path`, creating it if absent; returns the number of rows added or changed.
 
@@ -40,6 +41,9 @@ def merge_table(
     newest (with `oldest`, the oldest) by `order_by` first; those columns need not be stored. In an upsert, a stored row
     that is greater by the `guard` columns than the source's stays as it is. Rows equal to the stored ones are left out, so
     a repeated upsert writes nothing.
+
+    With `changes`, a path of this merge's own, the changed rows are left there as (old, new) before the table is
+    touched: old is NULL for an added row.
     """
     if mode not in ("upsert", "insert_only"):
         raise ValueError(f"unknown merge mode {mode!r}")
@@ -59,6 +63,7 @@ def merge_table(
             return 0
         target = read_table_or_none(source.sparkSession, path, layout)
         if target is None:
+            _leave_changes(newest, changes, layout)
             write_table(newest, path, "append", partition_by, sort_by=keys)
             return rows
         if small_enough(rows, seen["bytes"]):
@@ -67,26 +72,34 @@ def merge_table(
         # sorted by key, so these are few when keys grow with time.
         reachable = target.filter(lead.between(seen["low"], seen["high"]))
         if mode == "insert_only" and not guard:
-            return append_counted(unseen(newest, reachable, keys, probe), path, keys, partition_by)
+            return append_counted(unseen(newest, reachable, keys, probe), path, keys, partition_by, changes)
         if mode == "insert_only":
             places = reachable.join(probe, list(keys), "left_semi").select(*keys, F.struct(*guard).alias("_old"))
             judged = newest.join(places, list(keys), "left").withColumn("_earlier", F.struct(*guard) < F.col("_old"))
             newest = judged.filter("_old IS NULL OR _earlier").select(*layout.names, F.col("_old").isNotNull().alias("_earlier"))
             newest = newest.persist()
             if newest.filter("_earlier").isEmpty():  # the common case: nothing stored is touched
-                return append_counted(newest.select(*layout.names), path, keys, partition_by)
+                return append_counted(newest.select(*layout.names), path, keys, partition_by, changes)
             newest, guard = newest.select(*layout.names), ()
             probe = broadcast_if_small(newest.select(*keys))
         held = reachable.join(probe, list(keys), "left_semi").select(*layout.names).persist()
         try:
-            return _upsert(newest, held, target, path, layout, keys, partition_by, update, guard)
+            return _upsert(newest, held, target, path, layout, keys, partition_by, update, guard, changes)
         finally:
             held.unpersist()
     finally:
         newest.unpersist()
 
 
-def _upsert(newest, held, target, path, layout, keys, partition_by, update, guard) -> int:
+def _leave_changes(rows: DataFrame, path: str | None, layout: T.StructType, old: str = "_old", new: bool = True) -> None:
+    """Rows as (old, new) at the path, if there is one."""
+    if path:
+        row = F.struct(*layout.names)
+        before = F.col(old) if old in rows.columns else F.lit(None).cast(layout)
+        rows.select(before.alias("old"), (row if new else F.lit(None).cast(layout)).alias("new")).write.parquet(path)
+
+
+def _upsert(newest, held, target, path, layout, keys, partition_by, update, guard, changes) -> int:
     """Write the rows that differ from those held; their partitions are replaced."""
     incoming = newest if update is None else update_some_rows(held, newest, keys, update)
     old = held.select(*keys, F.struct(*layout.names).alias("_old"))
@@ -94,12 +107,13 @@ def _upsert(newest, held, target, path, layout, keys, partition_by, update, guar
     if guard:
         other = other & ~F.coalesce(F.struct(*[F.col(f"_old.{c}") for c in guard]) > F.struct(*guard), F.lit(False))
     changed = incoming.join(old, list(keys), "left").filter(F.col("_old").isNull() | other)
-    changed = changed.select(*layout.names, F.col(f"_old.{partition_by}" if partition_by else f"_old.{keys[0]}").alias("_from"))
-    changed = changed.persist()
+    came_from = F.col(f"_old.{partition_by}" if partition_by else f"_old.{keys[0]}").alias("_from")
+    changed = changed.select(*layout.names, came_from, *(["_old"] if changes else [])).persist()
     try:
         rows = changed.count()
         if not rows:
             return 0
+        _leave_changes(changed, changes, layout)
         touched = None
         if partition_by:
             # One value per partition, which Spark's file index keeps on the driver as well.
@@ -112,20 +126,43 @@ def _upsert(newest, held, target, path, layout, keys, partition_by, update, guar
         changed.unpersist()
 
 
-def append_counted(fresh: DataFrame, path: str, keys: Sequence[str], partition_by: str | None) -> int:
+def append_counted(fresh: DataFrame, path: str, keys: Sequence[str], partition_by: str | None, changes: str | None = None) -> int:
     """Append rows, leaving no files behind when there are none, and count them without a second join."""
     fresh = fresh.persist()
     try:
         rows = fresh.count()
         if rows:
+            _leave_changes(fresh, changes, fresh.schema)
             write_table(fresh, path, "append", partition_by, sort_by=keys)
         return rows
     finally:
         fresh.unpersist()
 
 
-def _rewrite(changed, target, touched, path, layout, keys, partition_by) -> None:
-    """Replace the touched partitions (None: an unpartitioned table) by their merged rows.
+def remove_from_table(
+    gone: DataFrame, path: str, layout: T.StructType, keys: Sequence[str], partition_by: str = "season", changes: str | None = None
+) -> int:
+    """Delete the rows with these keys from a stored table, rewriting the partitions that hold any; returns their number.
+
+    `changes` as in merge_table: new is NULL."""
+    target = read_table_or_none(gone.sparkSession, path, layout)
+    if target is None:
+        return 0
+    probe = broadcast_if_small(gone.select(*keys).distinct())
+    held = target.join(probe, list(keys), "left_semi").select(*layout.names).persist()
+    try:
+        rows = held.count()
+        if rows:
+            _leave_changes(held.withColumn("_old", F.struct(*layout.names)), changes, layout, new=False)
+            touched = [r[0] for r in held.select(partition_by).distinct().collect()]
+            _rewrite(held, target, touched, path, layout, keys, partition_by, keep=False)
+        return rows
+    finally:
+        held.unpersist()
+
+
+def _rewrite(changed, target, touched, path, layout, keys, partition_by, keep: bool = True) -> None:
+    """Replace the touched partitions (None: an unpartitioned table) by their merged rows, or without those of `changed`.
 
     The merged rows are first written next to the table, under a name of their own: the overwrite then never reads
     what it replaces, two merges do not meet, and an interrupted overwrite can be repeated from that copy. It goes
@@ -134,7 +171,8 @@ def _rewrite(changed, target, touched, path, layout, keys, partition_by) -> None
     spark = changed.sparkSession
     affected = target if touched is None else target.filter(_is_one_of(partition_by, touched))
     probe = broadcast_if_small(changed.select(*keys))
-    merged = affected.join(probe, list(keys), "left_anti").unionByName(changed)
+    merged = affected.join(probe, list(keys), "left_anti")
+    merged = merged.unionByName(changed) if keep else merged
 
     staging = f"{path.rstrip('/')}__merge-{uuid.uuid4().hex}"
     write_table(merged, staging, "overwrite", partition_by=None)
