@@ -47,7 +47,7 @@ def test_distance_is_a_lower_bound():
         a, b = parity_join.sketch(x, 20), parity_join.sketch(y, 20)
         assert np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(x, y))
     long = parity_join.sketch(x, 1300) ^ parity_join.sketch(y, 1300)
-    for largest, words in ((10**6, 512), (3000, 376), (10, 2)):
+    for largest, words in ((10**6, 512), (3000, 188), (10, 1)):
         short = parity_join.folded(long, largest)
         assert len(short) == words and np.bitwise_count(short).sum() <= np.bitwise_count(long).sum()
 

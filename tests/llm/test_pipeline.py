@@ -8,6 +8,7 @@ from brute import BLANK, LOWER, base_secrets, contaminated, near_components, sur
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from touchline.llm import quality_rules
 from touchline.llm.support import WORD_BPE, table, tokenizer_file
 
 SF = "/root/testdata/sf0.001"
@@ -104,3 +105,26 @@ def test_texts_of_one_id_are_told_apart(documents, spark):
     assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, expected))
     alone = corpus_pipeline.keep_one_of_each(spark, documents([(1, a), (9, a), (9, b)]), SF).collect()
     assert sorted((r["doc_id"], r["text"]) for r in alone) == [(1, a), (9, b)]
+
+
+def test_stages_on_odd_rows(documents, spark):
+    """NULL and empty texts, a NULL id, equal rows and columns of any name go through every stage; so does an empty table."""
+    good = " ".join(f"plain{k}" for k in range(60))
+    rows = [(1, good), (1, good), (2, None), (3, ""), (None, good + " once"), (4, good + "\npassword = abc123def456 end"), (5, "short")]
+    docs = documents(rows)
+    assert corpus_pipeline.keep_good(spark, docs, SF).columns == docs.columns
+    kept = quality_rules.quality(docs, table(spark, SF, "labels"), threshold=-99.0, keep_columns=True)  # the surface rules alone
+    assert kept.columns == docs.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "1", "4", "None"]
+    assert all(r["a.b"] == "a.b" and r["_found"] == "_found" and r["carried"] == "carried" for r in kept.collect())
+    for stage in (corpus_pipeline.keep_one_of_each, corpus_pipeline.keep_uncontaminated, corpus_pipeline.replace_secrets):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        found = out.collect()
+        assert {r["doc_id"] for r in found} >= {1, 2, 3, 5, None} and all(r["_doc"] == "_doc" and r["whole"] == "whole" for r in found)
+    redacted = {r["doc_id"]: r["text"] for r in found}
+    assert "abc123" not in redacted[4] and redacted[2] is None and redacted[3] == ""
+    assert corpus_pipeline.encode(spark, docs, SF).count() == len(rows)
+    nothing = documents([])
+    for _, stage in corpus_pipeline.STAGES:
+        nothing = stage(spark, nothing, SF)
+        assert nothing.collect() == []

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.native import neighbours
-from touchline.llm.support import stored
+from touchline.llm.support import carried, stored
 from touchline.operators.keyed import broadcast_if_small
 
 WINDOW_WORDS = 10
@@ -143,7 +143,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without any benchmark window, whole rows."""
-    hit = hit_documents(docs, benchmark).select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"))
-    same = docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
-    return docs.join(broadcast_if_small(hit), same, "left_anti")
+    """The documents without any benchmark window, whole rows; columns of any name ride along. See contamination."""
+    docs, back = carried(docs)
+    hit = hit_documents(docs, benchmark).select("doc", "text_hash")
+    same = docs["doc_id"].eqNullSafe(F.col("doc")) & (F.xxhash64(docs["text"]) == F.col("text_hash"))
+    return back(docs.join(broadcast_if_small(hit), same, "left_anti"))

@@ -9,7 +9,7 @@ k = 1, a part has three words, of which at most one differs, and documents are l
 form bands so that linked documents lie in one band or in neighbouring ones, and each band sets its number of parts.
 
 Documents with equal sets are one from the start. Equal keys meet in buckets; buckets of the same members are one. There
-sketches folded to about eight bits a shingle are compared, and only a spanning forest of the pairs that may be linked
+sketches folded to about four bits a shingle are compared, and only a spanning forest of the pairs that may be linked
 leaves a bucket, never all pairs. The forest's edges are verified on the exact sets. Where an edge fails, its bucket
 goes through further rounds: each gives, for each member, the next few partners that may be linked and lie in another
 component by then, so no link is lost. A bucket of many members is dealt out as pairs of blocks of bounded size.
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm import pretokens
-from touchline.llm.support import components, dropped, stored, unused
+from touchline.llm.support import carried, components, dropped, stored
 from touchline.operators.keyed import broadcast_if_small
 from touchline.operators.numbering import number_rows
 
@@ -33,7 +33,7 @@ SHINGLE_WORDS = 3
 PERCENT = 90
 BLOCK = 2048  # members of a bucket that one task compares with another such block
 FOLD_WORDS = 512  # at most so many sketch words are compared in buckets: sketches are folded by XOR, which keeps the bound
-FOLD_BITS = 8  # for each shingle, so that few pairs look linked by their sketches that are not
+FOLD_BITS = 4  # for each shingle, so that few pairs look linked by their sketches that are not
 FULL_WORD = 8  # shingles for each sketch word at least, or parts of three words are taken
 OPEN = (-(1 << 63), -(1 << 63))  # no pair, but a sign that a bucket has more
 _SALTS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -352,31 +352,26 @@ def near_components(
 def one_of_each(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents whose id is the smallest of their component, whole rows; one of rows with equal ids stays.
 
-    Rows without an id stay."""
+    Rows without an id stay, and so do texts without shingles. Columns of any name ride along."""
+    docs, back = carried(docs)
     extra = near_components(docs, size, percent).where("component_id <> doc_id").select("doc_id").distinct()
     # The others are fewer than the kept: while they are few enough to broadcast, no text is shuffled.
-    extra = broadcast_if_small(stored(extra, "extra"))
-    kept = docs.join(extra, docs["doc_id"] == extra["doc_id"], "left_anti")
+    kept = docs.join(broadcast_if_small(stored(extra, "extra")), "doc_id", "left_anti")
     named = kept.where("doc_id is not null")
     if not _repeats(named):
-        return kept
-    held = unused("held", docs)
-    one = named.groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias(held)).select(
-        *["doc_id" if c == "doc_id" else F.col(held)[c].alias(c) for c in docs.columns]
-    )
-    return one.unionByName(docs.where("doc_id is null"))
+        return back(kept)
+    one = named.groupBy("doc_id").agg(F.min(F.struct("text", "carried")).alias("held")).select("doc_id", "held.*")
+    return back(one.unionByName(docs.where("doc_id is null")))
 
 
 def one_of_each_text(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """As one_of_each, but rows with one id and different texts are documents of their own, in the order of ids and hashes
     of texts. Of rows equal in both one stays; rows without an id stay."""
-    named = docs.where("doc_id is not null")
-    if not _repeats(named):
+    if not _repeats(docs.where("doc_id is not null")):
         return one_of_each(docs, size, percent)
-    rest = F.struct(*[F.col(c).alias(f"c{k}") for k, c in enumerate(docs.columns)])
-    rows = named.select("doc_id", "text", rest.alias("whole")).groupBy("doc_id", "text").agg(F.min("whole").alias("whole"))
+    docs, back = carried(docs)
+    rows = docs.where("doc_id is not null").groupBy("doc_id", "text").agg(F.min("carried").alias("carried"))
     order = [F.col("doc_id"), F.xxhash64("text"), F.col("text")]
     numbered = stored(number_rows(rows, *order, name="number"), "numbered-texts")
-    kept = one_of_each(numbered.select(F.col("number").alias("doc_id"), "text", "whole"), size, percent)
-    columns = [F.col("whole")[f"c{k}"].alias(c) for k, c in enumerate(docs.columns)]
-    return kept.select(*columns).unionByName(docs.where("doc_id is null"))
+    kept = one_of_each(numbered.select(F.col("number").alias("doc_id"), "text", F.struct("doc_id", "carried").alias("own")), size, percent)
+    return back(kept.select("own.doc_id", "text", "own.carried").unionByName(docs.where("doc_id is null")))

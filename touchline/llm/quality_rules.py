@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.native import BLANKS, blank_words, let, neighbours
-from touchline.llm.support import stored
+from touchline.llm.support import carried, stored
 from touchline.operators.keyed import broadcast_if_small
 
 BUCKETS = 1 << 14
@@ -107,12 +107,13 @@ def bucket_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) ->
 def quality(
     docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, keep_columns: bool = False
 ) -> DataFrame:
-    """doc_id, surface counts, base_failed, kept and score of every document (with keep_columns: docs' columns and kept).
+    """doc_id, surface counts, base_failed, kept and score of every document (with keep_columns: the rows of docs that are kept).
 
     A NULL or empty text has no words, so it fails the base rule. Score is NULL without n-grams. Equal ids and texts stay
     separate rows with equal results, further columns are ignored, empty tables give an empty result. Labels with a
     NULL id are ignored; labels that contradict each other are not trusted.
     """
+    docs, back = carried(docs) if keep_columns else (docs.select("doc_id", "text"), None)
     text = F.col("text")
     found = F.transform(
         F.array(blank_words(text)),
@@ -134,7 +135,7 @@ def quality(
     )
     kept = ~failed & (F.coalesce("_score", F.lit(0.0)) >= threshold)
     if keep_columns:
-        return counted.where(kept).select(*docs.columns)
+        return back(counted.where(kept))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return counted.select(
         "doc_id", *[F.col(f"_found.{n}").alias(n) for n in names], failed.alias("base_failed"), kept.alias("kept"),

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.native import let
-from touchline.llm.support import stored
+from touchline.llm.support import carried, stored
 
 # The base kinds, in the order in which spans of equal start are listed.
 ASSIGN = """(?i:(password|passwd|secret|token|api_?key))["']?\\x20*[:=]\\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -144,7 +144,11 @@ def secret_digests(docs: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """docs with every span's characters replaced by `mark` (overlapping spans by one) and n_chars counted anew."""
+    """docs with every span's characters replaced by `mark` (overlapping spans by one) and n_chars counted anew.
+
+    A NULL text stays NULL; columns of any name ride along. See secret_spans."""
+    docs, back = carried(docs, ("doc_id", "text", "n_chars"))
+
     def step(done: Column, span: Column) -> Column:
         gap = F.substring(F.col("text"), done["at"] + 1, span["start"] - done["at"])
         apart = span["start"] >= done["at"]
@@ -161,4 +165,4 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     found = secret_spans(docs, keep_columns=True).withColumn("text", F.when(has, clean).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.when(has, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
-    return found.select(*docs.columns)
+    return back(found.select(*docs.columns))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 import public_tokenizers
@@ -44,12 +44,17 @@ def dropped(*tables: DataFrame) -> None:
         remove_paths(df.sparkSession, [df.stored_at])
 
 
-def unused(name: str, *tables: DataFrame) -> str:
-    """A column name that none of the tables has, in any spelling."""
-    taken = {c.lower() for df in tables for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
+def carried(docs: DataFrame, own: tuple[str, ...] = ("doc_id", "text")) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """docs with its own columns and all others, whatever their names, in one column `carried`; and the way back.
+
+    What an operator adds in between can then clash with no column that rides along."""
+    rest = [c for c in docs.columns if c not in own]
+    packed = F.struct(*[docs[f"`{c}`"].alias(f"c{k}") for k, c in enumerate(rest)]) if rest else F.lit(0)
+
+    def back(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c) if c in own else F.col(f"carried.c{rest.index(c)}").alias(c) for c in docs.columns])
+
+    return docs.select(*[c for c in docs.columns if c in own], packed.alias("carried")), back
 
 
 def arrow_rows(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[tuple]:
