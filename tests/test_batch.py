@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from touchline import schema
 from touchline.operators.league import standings_mart
-from touchline.operators.quality import DataQualityError
+from touchline.operators.quality import DataQualityError, match_constraints, split_valid
 from touchline.plans import batch
 from touchline.sinks.merge import merge_table
 from touchline.sources.lake import read_lake
@@ -99,13 +99,33 @@ def test_changes_read_no_other_season(spark, tmp_path):
     assert batch.standings_from_changes(spark, mart, changes) == ["2003-04"]
 
 
-def test_invalid_rows_stop_or_are_set_aside(spark, tmp_path):
+def test_invalid_rows_stop_or_are_set_aside(spark, tmp_path, monkeypatch):
     header = ",".join(schema.RAW_CSV.names)
     (tmp_path / "2023-24.csv").write_text(
         f"{header}\nx1,2024-01-01,2023-24,A,B,1,0,,,,,,\nx2,2024-01-01,2023-24,A,B,-1,0,,,,,,\n"
     )
     with pytest.raises(DataQualityError, match="negative"):
         batch.ingest_folder(spark, str(tmp_path), str(tmp_path / "lake"))
+    scans, real = [], batch.load_matches
+    monkeypatch.setattr(batch, "load_matches", lambda *a, **k: scans.append(1) or real(*a, **k))
     batch.ingest_with_quarantine(spark, str(tmp_path), str(tmp_path / "lake"), str(tmp_path / "bad"))
+    assert len(scans) == 1
     assert [r.match_id for r in read_lake(spark, str(tmp_path / "lake")).collect()] == ["x1"]
     assert spark.read.parquet(str(tmp_path / "bad")).first().reasons == ["home_goals_negative"]
+
+
+def test_quarantine_equals_the_split_and_reads_files_once(spark, tmp_path):
+    header = ",".join(schema.RAW_CSV.names)
+    lines = [f"x{i},2024-01-0{1 + i % 9},2023-24,A,{'AB'[i % 3 > 0]},{i % 5 - 1},{i % 4},,,,,," for i in range(60)]
+    (tmp_path / "2023-24.csv").write_text("\n".join([header, *lines, ",2024-01-01,2023-24,A,B,1,0,,,,,,"]) + "\n")
+    lake, bad = str(tmp_path / "lake"), str(tmp_path / "bad")
+    batch.ingest_with_quarantine(spark, str(tmp_path / "2023-24.csv"), lake, bad)
+    valid, broken = split_valid(batch.load_matches(spark, str(tmp_path / "2023-24.csv")), match_constraints())
+    assert sorted(r.match_id for r in read_lake(spark, lake).collect()) == sorted(r.match_id for r in valid.collect())
+    kept = spark.read.parquet(bad)
+    assert kept.columns == broken.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, broken.collect()))
+    (tmp_path / "torn.csv").write_text(header + "\nx1,2024-01-01,2023-24,A,B,many,0,,,,,,\n")
+    with pytest.raises(Exception):
+        batch.ingest_with_quarantine(spark, str(tmp_path / "torn.csv"), str(tmp_path / "lake2"), str(tmp_path / "bad2"))
+    assert not (tmp_path / "lake2").exists() and not (tmp_path / "bad2").exists()

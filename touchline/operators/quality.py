@@ -329,6 +329,11 @@ def with_reasons(df: DataFrame, constraints: Mapping[str, Column]) -> DataFrame:
     return df.withColumn("reasons", F.array_compact(F.array(*hits)))
 
 
+def flagged(df: DataFrame, constraints: Mapping[str, Column]) -> DataFrame:
+    """All rows with their reasons and `valid`: what split_valid gives, in one table."""
+    return with_reasons(df, constraints).withColumn("valid", F.size("reasons") == 0)
+
+
 def split_valid(df: DataFrame, constraints: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantined rows with their reasons); together exactly the input."""
     broken = reduce(lambda a, b: a | b, [F.coalesce(v, F.lit(False)) for v in constraints.values()])

@@ -12,7 +12,7 @@ from touchline.operators import league
 from touchline.operators.enrich import enrich
 from touchline.operators.keyed import settled
 from touchline.operators.league import new_seasons_only, standings_mart, team_summary
-from touchline.operators.quality import match_constraints, require_valid_rows, split_valid
+from touchline.operators.quality import flagged, match_constraints, require_valid_rows
 from touchline.sinks.jdbc import write_jdbc
 from touchline.session import scratch_path
 from touchline.sinks.lake import remove_paths, write_mart, write_matches, write_table
@@ -33,10 +33,17 @@ def ingest_folder(spark: SparkSession, csv_path: str, lake: str, summary: str |
 
 
 def ingest_with_quarantine(spark: SparkSession, csv_path: str, lake: str, quarantine: str, **reading) -> None:
-    """The lenient variant: valid rows go to the lake, the others to quarantine with their reasons."""
-    valid, broken = split_valid(load_matches(spark, csv_path, **reading), match_constraints())
-    write_matches(enrich(valid), lake)
-    write_table(broken, quarantine, partition_by=None)
+    """The lenient variant: valid rows go to the lake, the others to quarantine with their reasons.
+
+    The CSV files are read once, into a table split by validity from which both are written when it is complete: a bad
+    file fails the run before either table is touched.
+    """
+    staged = scratch_path(spark, "split")
+    write_table(flagged(load_matches(spark, csv_path, **reading), match_constraints()), staged, partition_by="valid")
+    rows = spark.read.parquet(staged)
+    write_matches(enrich(rows.filter("valid = 'true'").select(*schema.MATCHES.names)), lake)
+    write_table(rows.filter("valid = 'false'").drop("valid"), quarantine, partition_by=None)
+    remove_paths(spark, [staged])
 
 
 def refresh_standings(spark: SparkSession, lake: str, mart: str, refresh_seasons: Sequence[str] = ()) -> None:
