@@ -70,9 +70,19 @@ def _scratch_base(spark: SparkSession) -> str:
     return _local_base
 
 
+def _run_folder(spark: SparkSession) -> str:
+    return f"{_scratch_base(spark)}/touchline-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path nobody else uses, below the shared scratch folder."""
-    return f"{_scratch_base(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path nobody else uses, below this application's part of the shared scratch folder."""
+    return f"{_run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables and checkpoints of this application; results that still read them are lost."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def free_shuffles(spark: SparkSession) -> None:
@@ -85,4 +95,4 @@ def free_shuffles(spark: SparkSession) -> None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{_scratch_base(spark)}/checkpoints")
+        spark.sparkContext.setCheckpointDir(f"{_run_folder(spark)}/checkpoints")
