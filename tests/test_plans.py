@@ -6,16 +6,18 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from touchline import schema
 from touchline.operators import health, keyed, league, quality, reports, scoring
 from touchline.operators.enrich import enrich
 from touchline.plans.queries import QUERIES
 from touchline.sinks.lake import write_matches
+from touchline.sources import footers
 from touchline.sources.lake import read_lake
 
 SF_DIR = "/root/testdata/sf0.001"
 NEEDS_DATA = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables are not here")
 WRITES_FILES = {"csv_multi_file", "lake_roundtrip", "lake_merge_upsert", "stream_ingest_once", "staging_upsert",
-                "train_predict", "train_accuracy"}
+                "train_predict", "train_accuracy", "stream_rejects", "stream_counts", "standings_from_changes", "footer_profile"}
 
 
 def plan(df) -> str:
@@ -131,6 +133,19 @@ def test_unscored_reads_only_keys_of_the_predictions(spark, lake):
     assert "ReadSchema: struct<match_id:string>" in plan(scoring.unscored(rows, rows))
 
 
+def test_profiles_come_from_footers(spark, lake):
+    columns = ["home_goals", "home_shots", "home_possession"]
+    with footers.pushed_aggregates(spark):
+        text = plan(footers.profile_query(spark, lake, columns, schema.LAKE))
+    assert re.search(r"PushedAggregation: \[COUNT\(\*\), COUNT\(home_goals\), MIN\(home_goals\), MAX\(home_goals\)", text)
+    assert "PushedAggregation: [COUNT" not in plan(footers.profile_query(spark, lake, columns, schema.LAKE))  # as it was
+    told = {r.column: tuple(r)[1:] for r in footers.table_profile(spark, lake, [*columns, "referee"], schema.LAKE).collect()}
+    scanned = footers.profile_query(spark, lake, [*columns, "referee"], schema.LAKE).first()
+    for k, c in enumerate([*columns, "referee"]):
+        low, high = (None if scanned[f"{n}_{k}"] is None else str(scanned[f"{n}_{k}"]) for n in ("low", "high"))
+        assert told[c] == (scanned["rows"], scanned[f"known_{k}"], low, high)
+
+
 @NEEDS_DATA
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - WRITES_FILES))
 def test_no_query_multiplies_rows_or_leaves_the_jvm(spark, key):

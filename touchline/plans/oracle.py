@@ -315,6 +315,14 @@ ORACLE_SQL: dict[str, str] = {
     "standings_view_rank": _sql(_RANKED, "SELECT * FROM ranked"),
     "standings_mart": _sql(_MART, "SELECT * FROM mart"),
     "standings_incremental": _sql(_MART, "SELECT * FROM mart"),
+    "footer_profile": _sql(
+        _MATCHES,
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", count(*) AS \"rows\", count({c}) AS known, CAST(min({c}) AS VARCHAR) AS low, "
+            f"CAST(max({c}) AS VARCHAR) AS high FROM matches"
+            for c in ("match_date", "home_goals", "home_shots", "home_possession", "referee")
+        ),
+    ),
     "standings_from_changes": _sql(
         _MART.replace(
             "matches AS (SELECT * EXCLUDE (k, status) FROM keyed)",

@@ -17,6 +17,7 @@ from touchline.sinks.kafka import to_messages
 from touchline.sinks.lake import write_matches, write_table
 from touchline.sinks.merge import merge_table, stage_messages
 from touchline.sources.csv import load_matches
+from touchline.sources.footers import table_profile
 from touchline.sources.lake import read_lake
 from touchline.streaming.ingest import Drained, drain, drain_until, parse_messages
 
@@ -190,6 +191,13 @@ def standings_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(read_lake(spark, mart, schema.STANDINGS))
 
 
+def footer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and extremes of a stored table, numbers and dates from its footers."""
+    table = scratch_path(spark, "profiled")
+    write_table(derived.matches(spark, sf_dir), table, sort_by=["match_id"])
+    return table_profile(spark, table, ["match_date", "home_goals", "home_shots", "home_possession", "referee"], schema.MATCHES)
+
+
 # Messages.
 
 
@@ -357,6 +365,7 @@ QUERIES: dict[str, Query] = {
     "message_payload": message_payload,
     "parse_messages": parsed_messages,
     "standings_from_changes": standings_from_changes,
+    "footer_profile": footer_profile,
     "stream_ingest_once": stream_ingest_once,
     "stream_rejects": stream_rejects,
     "stream_counts": stream_counts,
