@@ -9,7 +9,7 @@ k = 1, a part has three words, of which at most one differs, and documents are l
 form bands so that linked documents lie in one band or in neighbouring ones, and each band sets its number of parts.
 
 Documents with equal sets are one from the start. Equal keys meet in buckets; buckets of the same members are one. There
-sketches folded to about four bits a shingle are compared, and only a spanning forest of the pairs that may be linked
+sketches folded to one or four bits a shingle are compared, and only a spanning forest of the pairs that may be linked
 leaves a bucket, never all pairs. The forest's edges are verified on the exact sets. Where an edge fails, its bucket
 goes through further rounds: each gives, for each member, the next few partners that may be linked and lie in another
 component by then, so no link is lost. A bucket of many members is dealt out as pairs of blocks of bounded size.
@@ -33,7 +33,9 @@ SHINGLE_WORDS = 3
 PERCENT = 90
 BLOCK = 2048  # members of a bucket that one task compares with another such block
 FOLD_WORDS = 512  # at most so many sketch words are compared in buckets: sketches are folded by XOR, which keeps the bound
-FOLD_BITS = 4  # for each shingle, so that few pairs look linked by their sketches that are not
+#: Sketch bits for each shingle in buckets, by the words of a part. More bits let fewer pairs look linked that are not; one bit
+#: already tells unrelated sets apart, and where keys are many their rows have to be short.
+FOLD_BITS = {1: 4, 3: 1}
 FULL_WORD = 8  # shingles for each sketch word at least, or parts of three words are taken
 OPEN = (-(1 << 63), -(1 << 63))  # no pair, but a sign that a bucket has more
 _SALTS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -96,7 +98,7 @@ def sketch(elements: np.ndarray, words: int) -> np.ndarray:
     return np.packbits(odd, bitorder="little").view("<u8")
 
 
-def folded(words: np.ndarray, largest: int, bits: int = FOLD_BITS) -> np.ndarray:
+def folded(words: np.ndarray, largest: int, bits: int = 4) -> np.ndarray:
     """The sketch XOR-folded to so many bits for each element of the largest set, FOLD_WORDS words at most."""
     count = min(FOLD_WORDS, 1 + bits * largest // 64)
     if len(words) <= count:
@@ -285,7 +287,8 @@ def _linked(docs: DataFrame, size: int, percent: int, block: int, bits: int) ->
     shared = stored(_keys(members, size, percent).join(met.select("key"), "key"), "shared")
     # Buckets of the same members are one: three sums of hashes tell members apart.
     sums = [F.sum(F.xxhash64(F.lit(k), "rep", "upper").bitwiseAND((1 << 40) - 1)).alias(f"h{k}") for k in range(3)]
-    alike = shared.groupBy("key").agg(F.count("*").alias("members"), *sums).groupBy("members", "h0", "h1", "h2").agg(F.min("key").alias("key"))
+    # Two of the lower band meet in their own band's buckets: one of the upper band has to be there.
+    alike = shared.groupBy("key").agg(F.count("*").alias("members"), F.bool_or("upper").alias("upper"), *sums).where("upper").groupBy("members", "h0", "h1", "h2").agg(F.min("key").alias("key"))
     slim = stored(shared.join(alike.select("key", "members"), "key"), "buckets")
     dropped(met, shared)
     sketches = described.select("rep", "n", "low", "high")
@@ -320,14 +323,15 @@ def _repeats(ids: DataFrame) -> bool:
 
 
 def near_components(
-    docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, block: int = BLOCK, bits: int = FOLD_BITS
+    docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, block: int = BLOCK, bits: int | None = None
 ) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every document.
 
     A NULL or empty text has no shingles and is linked with nothing. Rows with one doc_id are one document of several
     texts: each keeps its n_shingles, and they share a component. A NULL id is never linked, its component is NULL.
-    Further columns are ignored; an empty table gives an empty result.
+    Further columns are ignored; an empty table gives an empty result. `bits`: see FOLD_BITS.
     """
+    bits = FOLD_BITS[Bands(percent).part_words] if bits is None else bits
     plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     named = plain.where("doc_id is not null")
     if not _repeats(named):
