@@ -22,6 +22,21 @@ def test_features(matches):
     assert rows["m005"].label == 1.0 and rows["m002"].label == 0.0
 
 
+def test_features_can_be_stored(spark, matches, tmp_path):
+    """One season and eleven teams: the dictionaries differ in length."""
+    features = scoring.build_features(matches)
+    features.write.parquet(str(tmp_path / "features"))
+    back = spark.read.parquet(str(tmp_path / "features"))
+    assert {tuple(r) for r in back.collect()} == {tuple(r) for r in features.collect()}
+    assert not any(f.metadata for f in back.schema.fields)
+
+
+def test_unknown_names_get_the_next_free_code(matches, match_row):
+    encoders = scoring.fit_encoders(matches)
+    row = scoring.build_features(match_row(home_team="Newcomers", season="2030-31"), encoders).first()
+    assert (row.home_team_enc, row.season_enc) == (11.0, 1.0)
+
+
 @pytest.mark.parametrize("algorithm, rounds", [("boosted", 3), ("forest", 10)])
 def test_train_predict_and_predict_again(spark, played, tmp_path, algorithm, rounds):
     registry, predictions = str(tmp_path / "registry"), str(tmp_path / "predictions")

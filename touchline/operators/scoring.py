@@ -33,10 +33,11 @@ _CLASSES = sorted(fixed.OUTCOME_LABELS.values())
 _REGISTRY_DDL = "version BIGINT, run_id STRING, model_path STRING, train_accuracy DOUBLE, registered_at TIMESTAMP"
 
 
-def fit_encoders(matches: DataFrame) -> StringIndexerModel:
+def fit_encoders(matches: DataFrame) -> PipelineModel:
     """Alphabetical codes: one dictionary for home and away names, one for seasons.
 
-    The dictionaries hold a line per club and per season; unknown names get the next free code when scoring.
+    The dictionaries hold a line per club and per season; unknown names get the next free code when scoring. Each is a
+    stage of its own: arrays of different lengths are filled up with NULL labels when they share one.
     """
     def labels(values: DataFrame, column: str) -> list[str]:
         indexer = StringIndexer(inputCol=column, outputCol="_code", stringOrderType="alphabetAsc")
@@ -44,12 +45,13 @@ def fit_encoders(matches: DataFrame) -> StringIndexerModel:
 
     teams = labels(distinct_teams(matches), "team")
     seasons = labels(matches.select("season").distinct(), "season")
-    return StringIndexerModel.from_arrays_of_labels(
-        [teams, teams, seasons],
-        inputCols=["home_team", "away_team", "season"],
-        outputCols=["home_team_code", "away_team_code", "season_code"],
-        handleInvalid="keep",
-    )
+
+    def coder(dictionary: list[str], *columns: str) -> StringIndexerModel:
+        return StringIndexerModel.from_arrays_of_labels(
+            [dictionary] * len(columns), inputCols=list(columns), outputCols=[f"{c}_code" for c in columns], handleInvalid="keep"
+        )
+
+    return PipelineModel([coder(teams, "home_team", "away_team"), coder(seasons, "season")])
 
 
 def _feature_columns() -> SQLTransformer:
@@ -66,11 +68,15 @@ def _feature_columns() -> SQLTransformer:
     )
 
 
-def build_features(matches: DataFrame, encoders: StringIndexerModel | None = None) -> DataFrame:
-    """match_id, the four features and the label, for rows without NULLs."""
+def build_features(matches: DataFrame, encoders: PipelineModel | None = None) -> DataFrame:
+    """match_id, the four features and the label, for rows without NULLs.
+
+    They are stored without the dictionaries: a cast to the same type goes when the plan is optimised, and the names of
+    all clubs would be in each file's schema.
+    """
     complete = complete_for_scoring(matches)
     coded = (encoders or fit_encoders(complete)).transform(complete)
-    return _feature_columns().transform(coded).select("match_id", *FEATURES, "label")
+    return _feature_columns().transform(coded).select("match_id", *[C(c).alias(c, metadata={}) for c in FEATURES], "label")
 
 
 def _class_probabilities(scored: DataFrame) -> list[Column]:
