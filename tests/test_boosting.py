@@ -99,3 +99,44 @@ def test_one_class_and_no_rounds(spark):
     lone = boosting.fit_softmax(frame, ["x"], "label", 3, 5, 2, 0.5)
     shares = boosting.softmax(lone.margins(np.array([[1.0], [9.0]])))
     assert (shares.argmax(axis=1) == 0).all() and np.isinf(lone.cuts).all()
+
+
+def test_equal_rows_are_trained_as_one(spark, monkeypatch):
+    """Three million rows of sixty kinds: what a level reads does not grow with the copies, and the sums stay exact."""
+    rows = random_rows(random.Random(5), 60)
+    frame = spark.createDataFrame(rows, [*COLUMNS, "label"])
+    cuts = [np.unique([r[f] for r in rows]) for f in range(len(COLUMNS))]
+    held = boosting._blocks(frame.crossJoin(spark.range(50_000).select()), COLUMNS, "label", cuts, 3).collect()
+    found = [boosting._block(b.asDict(), len(COLUMNS), 3) for b in held]
+    assert sum(len(counts) for _, _, counts, _ in found) == len(set(rows))
+    assert sum(int(counts.sum()) for _, _, counts, _ in found) == 3_000_000
+    one = boosting.fit_softmax(frame, COLUMNS, "label", 3, 2, 2, 0.3, weight=1.0, least=1.0)
+    many = boosting.fit_softmax(frame.crossJoin(spark.range(1000).select()), COLUMNS, "label", 3, 2, 2, 0.3, weight=1000.0, least=1000.0)
+    np.testing.assert_allclose(one.leaves, many.leaves, rtol=1e-6)
+    assert (one.features == many.features).all() and (one.cuts == many.cuts).all()
+
+
+@pytest.mark.parametrize("depth", [0, 1, 3, 4, 5])
+def test_marks_lead_to_the_leaf_that_walking_finds(depth):
+    dice = np.random.default_rng(depth)
+    bins = dice.integers(0, 9, (500, 3))
+    for _ in range(20):
+        features, cuts = dice.integers(0, 3, (1 << depth) - 1), dice.integers(-1, 8, (1 << depth) - 1)
+        at = np.zeros(500, int)
+        for _ in range(depth):
+            at = np.array([2 * a + 1 + int(cuts[a] >= 0 and row[features[a]] > cuts[a]) for a, row in zip(at, bins)])
+        assert (boosting.reached(list(bins.T), [9] * 3, features, cuts, depth) == at - (1 << depth) + 1).all()
+
+
+def test_values_beyond_the_cuts_and_no_numbers():
+    trees = boosting.Ensemble(np.array([[0, 1, 0]]), np.array([[1.0, np.inf, 3.0]]), np.array([[1.0, 2.0, 3.0, 4.0]]), 1)
+    values = np.array([[1.0, 9], [1.5, 0], [3.0, 0], [3.5, 0], [np.nan, 0], [np.inf, 0], [-np.inf, np.inf]])
+    assert trees.margins(values)[:, 0].tolist() == [1, 3, 3, 4, 1, 4, 1]
+
+
+def test_sums_of_many_tasks_equal_those_of_few(spark, monkeypatch):
+    frame = spark.createDataFrame(random_rows(random.Random(9), 300), [*COLUMNS, "label"])
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 17)
+    few = boosting.fit_softmax(frame, COLUMNS, "label", 3, 2, 3, 0.1)
+    monkeypatch.setattr(boosting, "FEW_TASKS", 0)
+    assert boosting.fit_softmax(frame.repartition(5), COLUMNS, "label", 3, 2, 3, 0.1).to_json() == few.to_json()
