@@ -232,3 +232,26 @@ def test_breaches_are_appended(spark, tmp_path):
     stored = spark.read.parquet(path)
     assert stored.count() == 2
     assert "created_at" in stored.columns
+
+
+def test_merged_rows_are_written_once(spark, tmp_path, monkeypatch, join_way):
+    from touchline.sinks import merge
+
+    path, written = str(tmp_path / "t"), []
+    merge_table(table(spark, ("a", "s1", 1, "x"), ("b", "s2", 2, "x"), ("c", None, 3, "x")), path, ROW, ["match_id"])
+    monkeypatch.setattr(merge, "write_table", lambda df, *rest, **named: (written.append(df.count()), write_table(df, *rest, **named)))
+    assert merge_table(table(spark, ("b", "s1", 5, "y"), ("d", None, 4, "y")), path, ROW, ["match_id"]) == 2
+    assert written == [4]
+    assert content(read_lake(spark, path, ROW, columns=ROW.names)) == {("a", "s1", 1, "x"), ("b", "s1", 5, "y"), ("c", None, 3, "x"), ("d", None, 4, "y")}
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_only_partitions_of_the_copy_are_replaced(spark, tmp_path):
+    from touchline.sinks.lake import move_over
+
+    path, copy = str(tmp_path / "t"), str(tmp_path / "t__merge-1")
+    write_table(table(spark, ("a", "s1", 1, "old"), ("b", "s2", 2, "old"), ("c", "s3", 3, "old")), path)
+    write_table(table(spark, ("a", "s1", 1, "new"), ("b", "s2", 2, "new")), copy)
+    move_over(spark, str(tmp_path / "t__merge-1"), path, "season")
+    assert content(read_lake(spark, path, ROW, columns=ROW.names)) == {("a", "s1", 1, "new"), ("b", "s2", 2, "new"), ("c", "s3", 3, "old")}
+    assert not os.path.exists(copy)

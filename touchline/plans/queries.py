@@ -171,9 +171,8 @@ def lake_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scratch_path(spark, "merge")
     write_table(derived.merge_target(spark, sf_dir), table)
     source = derived.merge_source(spark, sf_dir)
-    newest = keyed.newest_per_key(source, ["match_id"], ["seq"]).drop("seq")
     for _ in range(2):
-        merge_table(newest, table, schema.MATCHES, ["match_id"])
+        merge_table(source, table, schema.MATCHES, ["match_id"], order_by=["seq"])
     return portable(read_lake(spark, table, schema.MATCHES))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from touchline.operators.keyed import (
     broadcast_if_small, newest_per_key, size_columns, small_enough, unseen, update_some_rows,
 )
-from touchline.sinks.lake import remove_paths, write_table
+from touchline.sinks.lake import move_over, remove_paths, write_table
 from touchline.sources.lake import read_table_or_none
 
 def merge_table(
@@ -66,27 +66,30 @@ def merge_table(
             _leave_changes(newest, changes, layout)
             write_table(newest, path, "append", partition_by, sort_by=keys)
             return rows
-        if small_enough(rows, seen["bytes"]):
+        few = small_enough(rows, seen["bytes"])
+        if few:
             probe = F.broadcast(probe)
         # Only row groups whose key range meets the source's are read in search of matches; tables are written
         # sorted by key, so these are few when keys grow with time.
         reachable = target.filter(lead.between(seen["low"], seen["high"]))
         if mode == "insert_only" and not guard:
             return append_counted(unseen(newest, reachable, keys, probe), path, keys, partition_by, changes)
+        # A broadcast probe narrows the table to its hits before they meet the source; without one that is one join more.
         if mode == "insert_only":
-            places = reachable.join(probe, list(keys), "left_semi").select(*keys, F.struct(*guard).alias("_old"))
+            near = reachable.join(probe, list(keys), "left_semi") if few else reachable
+            places = near.select(*keys, F.struct(*guard).alias("_old"))
             judged = newest.join(places, list(keys), "left").withColumn("_earlier", F.struct(*guard) < F.col("_old"))
-            newest = judged.filter("_old IS NULL OR _earlier").select(*layout.names, F.col("_old").isNotNull().alias("_earlier"))
-            newest = newest.persist()
-            if newest.filter("_earlier").isEmpty():  # the common case: nothing stored is touched
-                return append_counted(newest.select(*layout.names), path, keys, partition_by, changes)
-            newest, guard = newest.select(*layout.names), ()
-            probe = broadcast_if_small(newest.select(*keys))
-        held = reachable.join(probe, list(keys), "left_semi").select(*layout.names).persist()
-        try:
-            return _upsert(newest, held, target, path, layout, keys, partition_by, update, guard, changes)
-        finally:
-            held.unpersist()
+            judged = judged.filter("_old IS NULL OR _earlier").select(*layout.names, F.col("_old").isNotNull().alias("_earlier")).persist()
+            try:
+                fresh = judged.select(*layout.names)
+                if judged.filter("_earlier").isEmpty():  # the common case: nothing stored is touched
+                    return append_counted(fresh, path, keys, partition_by, changes)
+                return _upsert_held(fresh, reachable, broadcast_if_small(fresh.select(*keys)), target, path, layout, keys, partition_by, update, (), changes)
+            finally:
+                judged.unpersist()
+        if few or update is not None:
+            return _upsert_held(newest, reachable, probe, target, path, layout, keys, partition_by, update, guard, changes)
+        return _upsert(newest, reachable, target, path, layout, keys, partition_by, update, guard, changes)
     finally:
         newest.unpersist()
 
@@ -99,6 +102,15 @@ def _leave_changes(rows: DataFrame, path: str | None, layout: T.StructType, old:
         rows.select(before.alias("old"), (row if new else F.lit(None).cast(layout)).alias("new")).write.parquet(path)
 
 
+def _upsert_held(newest, reachable, probe, target, path, layout, keys, partition_by, update, guard, changes) -> int:
+    """The same as _upsert, with the rows to be replaced fetched once."""
+    held = reachable.join(probe, list(keys), "left_semi").select(*layout.names).persist()
+    try:
+        return _upsert(newest, held, target, path, layout, keys, partition_by, update, guard, changes)
+    finally:
+        held.unpersist()
+
+
 def _upsert(newest, held, target, path, layout, keys, partition_by, update, guard, changes) -> int:
     """Write the rows that differ from those held; their partitions are replaced."""
     incoming = newest if update is None else update_some_rows(held, newest, keys, update)
@@ -108,7 +120,8 @@ def _upsert(newest, held, target, path, layout, keys, partition_by, update, guar
         other = other & ~F.coalesce(F.struct(*[F.col(f"_old.{c}") for c in guard]) > F.struct(*guard), F.lit(False))
     changed = incoming.join(old, list(keys), "left").filter(F.col("_old").isNull() | other)
     came_from = F.col(f"_old.{partition_by}" if partition_by else f"_old.{keys[0]}").alias("_from")
-    changed = changed.select(*layout.names, came_from, *(["_old"] if changes else [])).persist()
+    replaces = F.col("_old").isNotNull().alias("_replaces")
+    changed = changed.select(*layout.names, came_from, replaces, *(["_old"] if changes else [])).persist()
     try:
         rows = changed.count()
         if not rows:
@@ -117,9 +130,8 @@ def _upsert(newest, held, target, path, layout, keys, partition_by, update, guar
         touched = None
         if partition_by:
             # One value per partition, which Spark's file index keeps on the driver as well.
-            both = F.explode(F.array(partition_by, "_from")).alias(partition_by)
-            known = changed.join(old.select(*keys), list(keys), "left_semi").select(both)
-            touched = [r[0] for r in known.union(changed.select(partition_by)).distinct().collect()]
+            both = F.when(F.col("_replaces"), F.array(partition_by, "_from")).otherwise(F.array(partition_by))
+            touched = [r[0] for r in changed.select(F.explode(both).alias(partition_by)).distinct().collect()]
         _rewrite(changed.select(*layout.names), target, touched, path, layout, keys, partition_by)
         return rows
     finally:
@@ -164,9 +176,9 @@ def remove_from_table(
 def _rewrite(changed, target, touched, path, layout, keys, partition_by, keep: bool = True) -> None:
     """Replace the touched partitions (None: an unpartitioned table) by their merged rows, or without those of `changed`.
 
-    The merged rows are first written next to the table, under a name of their own: the overwrite then never reads
-    what it replaces, two merges do not meet, and an interrupted overwrite can be repeated from that copy. It goes
-    when the table is complete.
+    The merged rows are written once, next to the table, under a name of their own and with its partitions: nothing is
+    read while it is replaced, and two merges do not meet. Each partition's folder is then moved into the place of the old
+    one; when this is interrupted, what is left of the copy has to be moved still.
     """
     spark = changed.sparkSession
     affected = target if touched is None else target.filter(_is_one_of(partition_by, touched))
@@ -175,7 +187,7 @@ def _rewrite(changed, target, touched, path, layout, keys, partition_by, keep: b
     merged = merged.unionByName(changed) if keep else merged
 
     staging = f"{path.rstrip('/')}__merge-{uuid.uuid4().hex}"
-    write_table(merged, staging, "overwrite", partition_by=None)
+    write_table(merged, staging, "append", partition_by, sort_by=keys)
     staged = spark.read.schema(layout).parquet(staging)
     old_files = affected.select(F.col("_metadata.file_path").alias("file"), *([partition_by] if partition_by else []))
     emptied = []
@@ -184,9 +196,9 @@ def _rewrite(changed, target, touched, path, layout, keys, partition_by, keep: b
         gone = [v for v in touched if v not in filled]
         if gone:  # a partition whose last row moved away gets no new rows, so its files have to go
             emptied = [r[0] for r in old_files.filter(_is_one_of(partition_by, gone)).select("file").distinct().collect()]
-    write_table(staged, path, "overwrite", partition_by, sort_by=keys)
+    move_over(spark, staging, path, partition_by)
     remove_paths(spark, emptied, encoded=True)
-    remove_paths(spark, [staging])
+    spark.catalog.refreshByPath(path)
 
 
 def _is_one_of(column: str, values: list):
