@@ -109,7 +109,9 @@ def message_sink(
     def handle(batch: DataFrame, batch_id: int) -> None:
         seen = Observation()
         turned_away = [F.count_if(F.col("reason") == r).alias(r) for r in (fixed.MALFORMED, fixed.WITHOUT_KEY)]
-        judged = judge_messages(batch).observe(seen, F.count(F.lit(1)).alias("read"), *turned_away).persist()
+        judged = judge_messages(batch).observe(seen, F.count(F.lit(1)).alias("read"), *turned_away)
+        if rejects:  # read twice; the merge alone keeps what it needs of the rows
+            judged = judged.persist()
         try:
             written: list[int] = []
             batch_sink(path, mode=mode, on_batch=lambda _, rows: written.append(rows))(judged.filter("reason IS NULL"), batch_id)
@@ -125,7 +127,8 @@ def message_sink(
             if on_batch:
                 on_batch(batch_id, written[0])
         finally:
-            judged.unpersist()
+            if rejects:
+                judged.unpersist()
 
     return handle
 
